@@ -1,7 +1,7 @@
 """Problem 4: copies within a group that differ in white space, case, punctuation or field order.
 
-Classes are refined step by step. First by invariants that cost little and stay in the JVM: the number of letters and
-digits, and a coarse letter histogram. Only members of classes with several members get the full key, which normalises the
+Classes are refined step by step. First by invariants that cost little: the number of letters and digits, and a
+fingerprint of the letter histogram. Only members of classes with several members get the full key, which normalises the
 text and, where it is a list of fields, sorts them; only its hash leaves the worker.
 
 Defined results: null and blank texts belong to no class; null groups count as one group; equal texts are copies; the kept
@@ -10,12 +10,14 @@ row is the one with the smallest id.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -76,18 +78,39 @@ def content_keys(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else content_key(t) for t in texts.to_pylist()], pa.binary())
 
 
-def _cheap(text: Column) -> dict[str, Column]:
-    bare = F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\p{M}]+", "")
-    return {"_bare": bare, "_len": F.length("_bare"), "_hist": F.array(*(F.length(F.translate(F.col("_bare"), c, "")) for c in ("n", "t", "0123456789")))}
+@functools.cache
+def _letter_weights() -> np.ndarray:
+    """A fixed 64-bit weight of each letter, digit or accent in lower case, 0 of all else; their sum tells histograms apart."""
+    weight = np.random.default_rng(4).integers(1, 2**63, 0x110000, dtype=np.int64)
+    table = np.zeros(0x110000, np.int64)
+    for cp in range(0x32400):
+        if not 0xD800 <= cp <= 0xDFFF:
+            table[cp] = sum(int(weight[ord(x)]) >> 8 for x in chr(cp).casefold() if unicodedata.category(x)[0] in "LNM")
+    return table
+
+
+@F.arrow_udf(T.StructType([T.StructField("length", T.LongType()), T.StructField("histogram", T.LongType())]))
+def invariants(texts: pa.Array) -> pa.Array:
+    """Number of letters and digits, and a fingerprint of the letter histogram; the same for all copies of a content."""
+    table, lengths, sums = _letter_weights(), [], []
+    for a in range(0, len(texts), 500):
+        block = [t or "" for t in texts.slice(a, 500).to_pylist()]
+        cp = np.frombuffer(("\0".join(block) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
+        starts = np.cumsum([0] + [len(t) + 1 for t in block[:-1]])
+        weight = table[cp]
+        lengths.append(np.add.reduceat((weight != 0).astype(np.int64), starts))
+        sums.append(np.add.reduceat(weight, starts))
+    none = np.zeros(0, np.int64)
+    return pa.StructArray.from_arrays([pa.array(np.concatenate(lengths or [none])), pa.array(np.concatenate(sums or [none]))], ["length", "histogram"])
 
 
 def format_copies(df: DataFrame, group_cols: tuple[str, ...] = ("document_id", "page"), id_col: str = "id", text_col: str = "text") -> DataFrame:
     """(kept_id, copy_id, n_copies): each copy but the kept one, with the number of copies of its content in the group."""
-    rows = df.select(F.col(id_col).alias("id"), F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in group_cols)).alias("_group"), F.col(text_col).alias("_text")).where("_text is not null")
-    for name, col in _cheap(F.col("_text")).items():
-        rows = rows.withColumn(name, col)
-    rows = rows.where("_len > 0 or trim(_text) <> ''").withColumn("_cheap", F.xxhash64("_group", "_len", "_hist")).drop("_bare", "_len", "_hist")
-    several = rows.groupBy("_cheap").agg(F.count("*").alias("n")).where("n > 1").select("_cheap")
-    keyed = cut(rows.join(several, "_cheap", "left_semi").select("id", "_group", content_keys("_text").alias("key")).where("key is not null"), "keys")
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).where("_text is not null")
+    group = F.concat_ws("\x1f", *(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in group_cols))
+    cheap = cut(df.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), group.alias("_group"), invariants(F.col(text_col)).alias("_cheap")), "cheap")
+    several = cheap.groupBy("_group", "_cheap").agg(F.count("*").alias("n")).where("n > 1")
+    members = cheap.join(several, ["_group", "_cheap"], "left_semi").select("id", "_group")
+    keyed = cut(texts.join(members, "id").select("id", "_group", content_keys("_text").alias("key")), "keys").where("key is not null")
     classes = keyed.groupBy("_group", "key").agg(F.min("id").alias("kept_id"), F.count("*").alias("n_copies")).where("n_copies > 1")
     return keyed.join(classes, ["_group", "key"]).where("id <> kept_id").select("kept_id", F.col("id").alias("copy_id"), "n_copies")
