@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import format_copies, lookalike, near_dup, packing, site_lines, tokens
+from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, site_lines, tokens, truncation
 from quernstone.runtime import cut
 
 
@@ -33,6 +33,24 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "sentences")).select("id_a", "id_b")
 
 
+def _values(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    chunks, sentences = _table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "sentences")
+    return chunks.select(F.lit("chunks").alias("tbl"), F.col("id").alias("rec_id"), "text").unionByName(sentences.select(F.lit("sentences").alias("tbl"), F.col("id").alias("rec_id"), "text")), chunks
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.cut_values(*_values(spark, sf_dir)).select("tbl", "rec_id")
+
+
+def p7_site_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cut values of each site and table."""
+    found = truncation.cut_values(*_values(spark, sf_dir)).select("tbl", "rec_id", F.lit(1).alias("is_cut"))
+    rows = _table(spark, sf_dir, "chunks").select(F.lit("chunks").alias("tbl"), F.col("id").alias("rec_id"), "document_id").unionByName(_table(spark, sf_dir, "sentences").select(F.lit("sentences").alias("tbl"), F.col("id").alias("rec_id"), "document_id"))
+    docs = _table(spark, sf_dir, "source_docs").select(F.col("id").alias("document_id"), "site_id").distinct()
+    per_doc = rows.join(found, ["tbl", "rec_id"], "left").groupBy("tbl", "document_id").agg(F.count("*").alias("n"), F.count("is_cut").alias("n_cut"))
+    return per_doc.join(docs, "document_id").groupBy("site_id", "tbl").agg(F.sum("n").alias("n_values"), F.sum("n_cut").alias("n_cut")).withColumn("share", F.round(F.col("n_cut") / F.col("n_values"), 6))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(_table(spark, sf_dir, "documents"))
 
@@ -41,8 +59,12 @@ def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue_documents(_table(spark, sf_dir, "documents")).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p8_ids, p9_pack)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
