@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, site_lines, tokens, truncation
+from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, scan_repair, site_lines, tokens, truncation
 from quernstone.runtime import cut
 
 
@@ -29,6 +29,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.format_copies(_table(spark, sf_dir, "chunks")).select("kept_id", "copy_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_repair.scan_faults(_table(spark, sf_dir, "chunks"))
+
+
+def p5_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks' texts as continuous paragraphs."""
+    return scan_repair.repair_chunks(_table(spark, sf_dir, "chunks"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(_table(spark, sf_dir, "sentences")).select("id_a", "id_b")
 
@@ -64,7 +73,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
+    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
