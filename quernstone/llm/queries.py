@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, scan_repair, site_lines, tokens, truncation
+from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, scan_repair, sentences, site_lines, tokens, truncation
 from quernstone.runtime import cut
 
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = _table(spark, sf_dir, "chunks").select("id", "text").join(_table(spark, sf_dir, "split_sample").select(F.col("chunk_id").alias("id")).distinct(), "id", "left_semi")
+    return sentences.split_sentences(cut(sample, "sample")).select(F.col("id").alias("chunk_id"), "end_pos")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_lines.repeated_lines(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "source_docs")).select("chunk_id", "line_no")
 
@@ -73,7 +78,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
 
 
 def oracle_sql() -> dict[str, str]:
