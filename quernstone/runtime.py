@@ -27,3 +27,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(df.sparkSession), f"quernstone-{uuid.uuid4().hex}", name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as tasks can run: for a table of fewer files than that, which is a small one.
+
+    A table of many files keeps its partitions, and no shuffle is added.
+    """
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.queryExecution().toRdd().getNumPartitions() >= parallel else df.repartition(parallel)
