@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, scan_repair, sentences, site_lines, tokens, truncation
 from quernstone.runtime import cut
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+from quernstone.sources.tables import table as _table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
