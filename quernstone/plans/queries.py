@@ -19,7 +19,7 @@ PAIRS, ASSIST, HEAD_DOCUMENTS = 0.40, 0.30, 8
 
 
 # SQL of shared expressions. DuckDB has no NFKC: characters that stand for one other are translated, the rest replaced.
-def _nfkc_sql(x: str) -> str:
+def nfkc_sql(x: str) -> str:
     single, several = [], []
     for cp in (*range(0xA0, 0xD800), *range(0xF900, 0xFFFE)):
         c = chr(cp)
@@ -68,7 +68,7 @@ def _sentences_sql(source: str) -> str:
     """CTEs raw and sentences over a relation (id, text and more)."""
     marked = f"regexp_replace(replace(text, '\r\n', '\n'), '([.?!…])[{tx.WS}]+|\n{{2,}}', '\\1' || chr(1), 'g')"
     parts = f"list_filter(list_transform(string_split({marked}, chr(1)), lambda x: {_strip_sql('x')}), lambda x: x <> '')"
-    return f"raw AS (SELECT *, {parts} AS parts FROM {source} WHERE text <> ''), sentences_of AS (SELECT * EXCLUDE (parts, raw_text, text), {_squeeze_sql(_nfkc_sql('raw_text'))} AS text FROM (SELECT * EXCLUDE (k), parts[k] AS raw_text, k - 1 AS sentence_index FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM raw)))"
+    return f"raw AS (SELECT *, {parts} AS parts FROM {source} WHERE text <> ''), sentences_of AS (SELECT * EXCLUDE (parts, raw_text, text), {_squeeze_sql(nfkc_sql('raw_text'))} AS text FROM (SELECT * EXCLUDE (k), parts[k] AS raw_text, k - 1 AS sentence_index FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS k FROM raw)))"
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,7 +164,7 @@ def span_repair(spark, d):
 
 
 _POS = 'row_number() OVER (PARTITION BY document_id ORDER BY page ASC NULLS LAST, "offset" ASC NULLS LAST, id ASC NULLS LAST) - 1'
-_NORM = _squeeze_sql(_nfkc_sql("coalesce(text, '')"))
+_NORM = _squeeze_sql(nfkc_sql("coalesce(text, '')"))
 
 
 @_query(
@@ -376,7 +376,7 @@ def document_sentence_stats(docs: DataFrame) -> DataFrame:
     "z AS (SELECT *, CASE WHEN NOT flat AND t1 IS NOT NULL AND NOT final AND NOT apart1 AND n + n1 <= 512 THEN CASE WHEN t2 IS NOT NULL AND NOT final1 AND NOT apart2 AND n + 1 + n1 + n2 <= 512 THEN 3 ELSE 2 END ELSE 1 END AS reach FROM y), "
     "walk AS (SELECT did, r, reach FROM z WHERE r = 0 UNION ALL SELECT z.did, z.r, z.reach FROM walk w JOIN z ON z.did = w.did AND z.r = w.r + w.reach), "
     "o AS (SELECT z.did, z.sid || CASE WHEN z.reach > 1 THEN '-stitched' ELSE '' END AS sid, z.page, z.p, CASE WHEN z.reach = 3 THEN t || ' ' || t1 || ' ' || t2 WHEN z.reach = 2 THEN t || ' ' || t1 ELSE t END AS text FROM walk w JOIN z ON z.did = w.did AND z.r = w.r), "
-    f"k AS (SELECT *, row_number() OVER (PARTITION BY did, page, sha1(text) ORDER BY p) AS k FROM (SELECT did, sid, page, p, {_squeeze_sql(_nfkc_sql('text'))} AS text FROM o)) "
+    f"k AS (SELECT *, row_number() OVER (PARTITION BY did, page, sha1(text) ORDER BY p) AS k FROM (SELECT did, sid, page, p, {_squeeze_sql(nfkc_sql('text'))} AS text FROM o)) "
     f"SELECT sid AS chunk_id, did AS document_id, text AS clean_text, round({_quality_sql('text', 'false')}, 9) AS quality_score, page AS first_page FROM k WHERE k = 1"
 )
 def pipeline_offline(spark, d):
