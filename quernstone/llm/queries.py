@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quernstone.functions.text import WS
 from quernstone.llm import format_copies, lookalike, near_dup, packing, residue, scan_repair, sentences, site_lines, tokens, truncation
+from quernstone.plans.queries import nfkc_sql
 from quernstone.runtime import cut
 from quernstone.sources.tables import table as _table
 
@@ -18,7 +20,7 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return site_lines.repeated_lines(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "source_docs")).select("chunk_id", "line_no")
+    return site_lines.repeated_lines(_table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "source_docs")).select("chunk_id", "line_no").distinct()
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,5 +80,62 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
 
 
+_P2 = f"""
+WITH docs AS (SELECT DISTINCT id AS document_id, site_id FROM source_docs WHERE id IS NOT NULL AND site_id IS NOT NULL),
+lines AS (SELECT chunk_id, document_id, unnest(l) AS line, unnest(range(0, len(l))) AS line_no FROM (SELECT id AS chunk_id, document_id, string_split(text, chr(10)) AS l FROM chunks WHERE text IS NOT NULL)),
+keyed AS (SELECT chunk_id, document_id, line_no, regexp_replace(regexp_replace(lower({nfkc_sql("line")}), '[{WS}]+', '', 'g'), '\\p{{Nd}}+', '0', 'g') AS key FROM lines),
+counted AS (SELECT * FROM keyed WHERE length(regexp_replace(key, '[^\\p{{L}}]', '', 'g')) >= {site_lines.MIN_LETTERS}),
+hot AS (SELECT site_id, key FROM counted JOIN docs USING (document_id) GROUP BY site_id, key HAVING count(DISTINCT document_id) >= {site_lines.MIN_DOCUMENTS})
+SELECT DISTINCT chunk_id, line_no FROM counted JOIN docs USING (document_id) JOIN hot USING (site_id, key)
+"""
+
+
+def _look_sql(x: str) -> str:
+    """The look of a text in SQL: invisible characters go, accents are composed, every character becomes its look, again composed."""
+    gone, single, several = [], [], []
+    for cp in (*range(0x7F, 0xD800), *range(0xF900, 0xFFFE)):
+        c = chr(cp)
+        k = lookalike.skeleton(c)
+        if k == "":
+            gone.append(c)
+        elif k != c and len(k) == 1 and k != "'":
+            single.append((c, k))
+        elif k != c and (0xFB00 <= cp <= 0xFB06 or 0x2160 <= cp <= 0x217F):
+            several.append((c, k))
+    x = f"nfc_normalize(translate({x}, '{''.join(gone)}', ''))"
+    for c, k in several:
+        x = f"replace({x}, '{c}', '{k}')"
+    return f"nfc_normalize(translate({x}, '{''.join(c for c, _ in single)}', '{''.join(k for _, k in single)}'))"
+
+
+_P3 = f"""
+WITH rows_of AS (SELECT 'chunks' AS tbl, id, text FROM chunks UNION ALL SELECT 'sentences', id, text FROM sentences),
+looks AS (SELECT tbl, id, text, {_look_sql("text")} AS look FROM rows_of WHERE regexp_matches(text, '[^{WS}]'))
+SELECT a.tbl, a.id AS id_a, b.id AS id_b FROM looks a JOIN looks b ON a.tbl = b.tbl AND a.look = b.look AND a.id < b.id AND a.text <> b.text
+"""
+
+
+def _plain_sql(x: str) -> str:
+    """Content of a text in SQL: lower case, no white space, punctuation only directly between digits."""
+    x = f"lower({x})"
+    for _ in range(2):  # twice, as marks may share a digit
+        x = f"regexp_replace({x}, '(\\p{{Nd}})(\\p{{P}})(\\p{{Nd}})', '\\1' || chr(2) || '\\2\\3', 'g')"
+    return f"replace(regexp_replace(regexp_replace({x}, '(\\x02\\p{{P}})|\\p{{P}}', '\\1', 'g'), '[{WS}]+', '', 'g'), chr(2), '')"
+
+
+_FIELD = f"CASE WHEN contains(p, ':') AND {_plain_sql('split_part(p, chr(58), 1)')} <> '' AND {_plain_sql('substr(p, strpos(p, chr(58)) + 1)')} <> '' THEN {_plain_sql('split_part(p, chr(58), 1)')} || chr(9) || {_plain_sql('substr(p, strpos(p, chr(58)) + 1)')} END"
+_P4 = f"""
+WITH parted AS (SELECT id, document_id, page, text, list_transform(list_filter(string_split_regex(replace(text, '：', ':'), '[\\n\\r\\t;|\\x0b\\f\\x1c-\\x1e\\x{{85}}\\x{{2028}}\\x{{2029}}；｜]+'), lambda p: {_plain_sql("p")} <> ''), lambda p: {_FIELD}) AS parts FROM chunks WHERE text IS NOT NULL),
+keyed AS (SELECT id, document_id, page, CASE WHEN len(parts) >= 2 AND len(list_filter(parts, lambda p: p IS NULL)) = 0 THEN array_to_string(list_sort(parts), chr(10)) ELSE {_plain_sql("text")} END AS key FROM parted)
+SELECT kept_id, id AS copy_id FROM (SELECT id, min(id) OVER (PARTITION BY document_id, page, key) AS kept_id FROM keyed WHERE key <> '') WHERE id <> kept_id
+"""
+_P6 = f"""
+WITH t AS (SELECT id, text, {_look_sql("text")} AS look, regexp_replace(text, '[{WS}]+', '', 'g') AS bare, list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS words FROM sentences WHERE text IS NOT NULL),
+w AS (SELECT id, len(words) AS n, unnest(words) AS word FROM t),
+pairs_of AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS common, any_value(a.n + b.n) AS n FROM w a JOIN w b ON a.word = b.word AND a.id < b.id GROUP BY 1, 2)
+SELECT id_a, id_b FROM pairs_of JOIN t x ON x.id = id_a JOIN t y ON y.id = id_b WHERE common >= {near_dup.THRESHOLD} * (pairs_of.n - common) - 1e-9 AND x.bare <> y.bare AND x.look <> y.look
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p6_found": _P6}
