@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.functions.text import fingerprint
 from quernstone.runtime import cut
 
 #: Vectors in a block; similarities are computed block against block, so no task holds a document.
@@ -129,11 +132,107 @@ def greedy_absorb(confirmed: DataFrame) -> DataFrame:
     return rows.groupBy("document_id").applyInArrow(run, f"document_id {doc}, absorbed bigint, into bigint")
 
 
+def same_content(pairs: DataFrame, decide=None) -> DataFrame:
+    """pairs (..., canonical, candidate) with column same: whether both say the same.
+
+    decide: (key, canonical, candidate) of distinct pairs, cut to 800 and 400 characters, -> (key, decision 0/1 or null);
+    null and missing answers are no, and without a decider all are.
+    """
+    if decide is None:
+        return pairs.withColumn("same", F.lit(False))
+    keyed = pairs.withColumn("_key", fingerprint(F.lit("merge"), F.col("canonical"), F.lit("\n"), F.col("candidate")))
+    questions = keyed.groupBy(F.col("_key").alias("key")).agg(F.substring(F.min("canonical"), 1, 800).alias("canonical"), F.substring(F.min("candidate"), 1, 400).alias("candidate"))
+    answers = decide(questions).select(F.col("key").alias("_k"), (F.col("decision").cast("int") == 1).alias("_d"))
+    return keyed.join(answers, keyed["_key"] == answers["_k"], "left").withColumn("same", F.coalesce("_d", F.lit(False))).drop("_key", "_k", "_d")
+
+
+def merge_walk(edges: list[tuple[int, int, int]], same: dict[tuple[int, int], bool], lengths: dict[int, int]) -> tuple[dict[int, list[int]], set[tuple[int, int]]]:
+    """({group: it and what it took, in order}, questions still open) of candidates (i, rank, j).
+
+    As absorb_order, but a group that took a longer text is asked about by that text, so the questions depend on the walk:
+    same holds answers by (i, the group whose text j bears then). Where one is missing, j's own text stands in.
+    """
+    held: dict[int, list[int]] = {}
+    bears: dict[int, int] = {}
+    gone: set[int] = set()
+    missing: set[tuple[int, int]] = set()
+    for i, near in groupby(sorted(edges), key=lambda e: e[0]):
+        if i in gone:
+            continue
+        for _, _, j in near:
+            if j in gone or j == i:
+                continue
+            c = bears.get(j, j)
+            if (i, c) not in same:
+                missing.add((i, c))
+            if same.get((i, c), same.get((i, j), False)):
+                held.setdefault(i, [i]).extend(held.pop(j, [j]))
+                gone.add(j)
+                if lengths[c] > lengths[bears.get(i, i)]:
+                    bears[i] = c
+    return held, missing
+
+
+def merged_groups(members: DataFrame, decide, threshold: float = 0.86, ranks: int = 6) -> DataFrame:
+    """(document_id, absorbed, into, turn): each group that was merged, the group it is in at last, and its place there.
+
+    members: (document_id, pos, root, text, embedding). A group stands for its first member's embedding and its longest text.
+    """
+    own = cut(members.groupBy(F.col("document_id").alias("_d"), F.col("root").alias("_r")).agg(F.max_by("text", F.struct(F.length("text"), -F.col("pos"))).alias("_t")), "own")
+    edges = cut(merge_candidates(members.where("pos = root").select("document_id", "pos", "embedding"), threshold, ranks).select("document_id", "i", "rank", "j"), "candidates")
+
+    def with_texts(pairs: DataFrame, j: str) -> DataFrame:
+        a, b = own.select("_d", "_r", F.col("_t").alias("canonical")), own.select(F.col("_d").alias("_e"), F.col("_r").alias("_s"), F.col("_t").alias("candidate"))
+        first = pairs.join(a, F.col("document_id").eqNullSafe(F.col("_d")) & (F.col("i") == F.col("_r")))
+        return first.join(b, F.col("document_id").eqNullSafe(F.col("_e")) & (F.col(j) == F.col("_s"))).drop("_d", "_r", "_e", "_s")
+
+    none = F.lit(None)
+    sized = with_texts(edges, "j").select("document_id", "i", F.col("rank").cast("bigint").alias("rank"), "j", F.length("canonical").cast("bigint").alias("n_i"), F.length("candidate").cast("bigint").alias("n_j"), none.cast("boolean").alias("same"))
+    sized = cut(sized, "sized")
+
+    def run(key, table):
+        links, same, lengths = [], {}, {}
+        for i, rank, j, n_i, n_j, yes in zip(*(table.column(c).to_pylist() for c in ("i", "rank", "j", "n_i", "n_j", "same"))):
+            if yes is None:
+                links.append((i, rank, j))
+                lengths[i], lengths[j] = n_i, n_j
+            else:
+                same[i, j] = yes
+        held, missing = merge_walk(links, same, lengths)
+        out = [(g, i, turn) for i, took in held.items() for turn, g in enumerate(took)] + [(i, c, None) for i, c in sorted(missing)]
+        return pa.table({"document_id": pa.array([key[0].as_py()] * len(out), table.schema.field("document_id").type), **{c: pa.array([x[k] for x in out], pa.int64()) for k, c in enumerate(("absorbed", "into", "turn"))}})
+
+    doc = members.schema["document_id"].dataType.simpleString()
+    asked, known = edges.select("document_id", "i", "j"), sized
+    while True:
+        answers = cut(same_content(with_texts(asked, "j"), decide).select("document_id", "i", "j", "same"), "answers")
+        null = none.cast("bigint")
+        known = known.unionByName(answers.select("document_id", "i", null.alias("rank"), "j", null.alias("n_i"), null.alias("n_j"), "same"))
+        walked = cut(known.select("document_id", "i", "rank", "j", "n_i", "n_j", "same").groupBy("document_id").applyInArrow(run, f"document_id {doc}, absorbed bigint, into bigint, turn bigint"), "walked")
+        asked = walked.where("turn is null").select("document_id", F.col("absorbed").alias("i"), F.col("into").alias("j"))
+        if not asked.limit(1).count():
+            return walked
+
+
 def absorb(members: DataFrame, absorbed: DataFrame) -> DataFrame:
-    """members (document_id, pos, root, text) with the roots of absorbed groups replaced by those that took them."""
-    moved = absorbed.select(F.col("document_id").alias("_d"), F.col("absorbed").alias("_a"), "into")
+    """members (document_id, pos, root, text) with the roots of absorbed groups replaced by those that hold them at last, and
+    turn, the place of a member's old group there. absorbed: (document_id, absorbed, into, turn) of merged_groups."""
+    moved = absorbed.select(F.col("document_id").alias("_d"), F.col("absorbed").alias("_a"), "into", "turn")
     joined = members.join(moved, members["document_id"].eqNullSafe(moved["_d"]) & (members["root"] == moved["_a"]), "left")
-    return joined.withColumn("root", F.coalesce("into", "root")).drop("_d", "_a", "into")
+    return joined.withColumn("root", F.coalesce("into", "root")).withColumn("turn", F.coalesce("turn", F.lit(0))).drop("_d", "_a", "into")
+
+
+def confirm_variants(members: DataFrame, decide=None) -> DataFrame:
+    """members (document_id, pos, root, turn, text) but for short ones that aren't confirmed to say what the canonical one does."""
+    best = F.max_by(F.struct("pos", "text"), F.struct(F.length("text"), -F.col("turn"), -F.col("pos")))
+    own = members.groupBy(F.col("document_id").alias("_d"), F.col("root").alias("_r")).agg(best.alias("_b"))
+    joined = members.join(own, members["document_id"].eqNullSafe(own["_d"]) & (members["root"] == own["_r"]))
+    marked = cut(joined.withColumn("is_canonical", F.col("pos") == F.col("_b.pos")).withColumn("canonical", F.col("_b.text")).withColumn("candidate", F.col("text")).withColumn("content_id", F.to_json(F.struct("document_id", "root"))).drop("_d", "_r", "_b"), "marked")
+    long = keep_long_variants(marked).withColumn("same", F.lit(False))
+    kept = long.select(F.col("content_id").alias("_c"), F.col("pos").alias("_p"))
+    short = marked.join(kept, (F.col("content_id") == F.col("_c")) & (F.col("pos") == F.col("_p")), "left_anti")
+    told = long.unionByName(same_content(short, decide))
+    return keep_long_variants(told, "same").drop("is_canonical", "canonical", "candidate", "content_id", "same")
 
 
 def keep_long_variants(variants: DataFrame, confirmed: str = "false") -> DataFrame:

@@ -34,26 +34,53 @@ def equal_text_groups(rows: DataFrame) -> DataFrame:
     return rows.join(first, rows["document_id"].eqNullSafe(first["_d"]) & (rows["text"] == first["_t"])).drop("_d", "_t")
 
 
-def embedded_groups(rows: DataFrame, embed: Callable[[DataFrame], DataFrame], settings: Settings) -> DataFrame:
-    """Groups by similarity; embed adds the column embedding."""
+def embedded_groups(rows: DataFrame, embed: Callable[[DataFrame], DataFrame], settings: Settings, merge_decider=None) -> DataFrame:
+    """Groups by similarity; embed adds the column embedding. With use_merge_assist, groups that are nearly similar enough are
+    merged if merge_decider says so, and short variants stay only if it confirms them; without one, none does."""
     items = embed(rows)
     if settings.same_anchor_only:
         items = items.withColumn("article", F.lit(None).cast("string")).withColumn("clause", F.lit(None).cast("string"))
-    grouped = similarity.group_variants(items, settings.group_similarity, settings.neighbours, settings.same_anchor_only).drop("embedding", "article", "clause")
+    items = cut(items, "embedded")
+    grouped = similarity.group_variants(items, settings.group_similarity, settings.neighbours, settings.same_anchor_only).drop("article", "clause").withColumn("turn", F.lit(0).cast("bigint"))
+    if settings.use_merge_assist:
+        if merge_decider is not None:
+            grouped = cut(grouped.drop("turn"), "similar")
+            grouped = similarity.absorb(grouped, similarity.merged_groups(grouped, merge_decider, settings.assist_similarity, settings.merge_ranks))
+        grouped = similarity.confirm_variants(grouped.drop("embedding"), merge_decider)
+    grouped = cut(grouped.drop("embedding"), "variants")
     counts = grouped.groupBy(F.col("document_id").alias("_d"), F.col("root").alias("_r")).agg(F.count("*").alias("variants"))
     return grouped.join(counts, grouped["document_id"].eqNullSafe(counts["_d"]) & (grouped["root"] == counts["_r"])).drop("_d", "_r")
 
 
 def canonical_sentences(grouped: DataFrame) -> DataFrame:
     """The canonical sentence of each group, at its group's place."""
-    best = F.max_by(F.struct("sentence_id", "page", "offset", "text"), F.struct(F.length("text"), -F.col("pos")))
+    best = F.max_by(F.struct("sentence_id", "page", "offset", "text"), F.struct(F.length("text"), -F.col("turn"), -F.col("pos")))
     return grouped.groupBy("document_id", F.col("root").alias("pos")).agg(best.alias("b"), F.first("variants").alias("variants")).select("document_id", "pos", F.col("b.sentence_id").alias("id"), "b.page", "b.offset", "b.text", "variants")
 
 
-def run_pipeline(chunks: DataFrame, settings: Settings | None = None, header_decider=None, completeness_decider=None, embed=None, steps: tuple[Callable[[DataFrame], DataFrame], ...] = ()) -> DataFrame:
+def all_variants(whole: DataFrame, grouped: DataFrame) -> DataFrame:
+    """whole with every variant of each group in place of its canonical row; flat and stitched rows are no variant's, and stay.
+
+    Adds place, by which the rows sort: a group's members, then those of each group that it took.
+    """
+    plain = ~F.col("is_flat") & (F.col("merged") == 1)
+    made = whole.where(~plain).withColumn("place", F.struct(F.col("pos").cast("bigint").alias("pos"), F.lit(0).cast("bigint").alias("turn"), F.lit(0).cast("bigint").alias("at")))
+    own = grouped.select(F.col("document_id").alias("_d"), (F.col("root") * 2 + 1).alias("_p"), F.col("turn").cast("bigint").alias("_turn"), F.col("pos").cast("bigint").alias("_at"), F.struct("sentence_id", "page", "offset", "text").alias("_v"))
+    rows = whole.where(plain)
+    joined = rows.join(own, rows["document_id"].eqNullSafe(own["_d"]) & (rows["pos"] == own["_p"]))
+    each = joined.withColumn("is_canonical", F.col("id") == F.col("_v.sentence_id")).withColumn("id", F.col("_v.sentence_id"))
+    for c in ("page", "offset", "text"):
+        each = each.withColumn(c, F.col(f"_v.{c}"))
+    each = each.withColumn("place", F.struct(F.col("pos").cast("bigint").alias("pos"), F.col("_turn").alias("turn"), F.col("_at").alias("at")))
+    return each.drop("_d", "_p", "_turn", "_at", "_v").unionByName(made)
+
+
+def run_pipeline(chunks: DataFrame, settings: Settings | None = None, header_decider=None, completeness_decider=None, embed=None, steps: tuple[Callable[[DataFrame], DataFrame], ...] = (), merge_decider=None) -> DataFrame:
     """(chunk_id, document_id, clean_text, ops, flags, quality_score, source_linkage, page_range, version, timestamp).
 
-    Deciders and the embedder are optional; without them every judgement is the rule's. Extra steps see the canonical rows.
+    Deciders and the embedder are optional; without them every judgement is the rule's. merge_decider (similarity.same_content)
+    is asked with an embedder only: without one, groups hold equal texts, which there is nothing to ask about. Extra steps see
+    the canonical rows, or those of all variants.
     """
     s = settings or Settings()
     rows = chunk_scan(chunks.select("id", "document_id", "page", "offset", "text"))
@@ -61,7 +88,9 @@ def run_pipeline(chunks: DataFrame, settings: Settings | None = None, header_dec
         rows = header.strip_headers(rows, header_decider)
     # each stage that the next reads more than once is a table of its own
     parts = cut(sentences.classify(placed_sentences(rows), completeness_decider), "sentences")
-    grouped = embedded_groups(parts, embed, s) if embed else equal_text_groups(parts)
+    grouped = embedded_groups(parts, embed, s, merge_decider) if embed else equal_text_groups(parts).withColumn("turn", F.lit(0))
+    if s.targets == "all":
+        grouped = cut(grouped, "grouped")
     groups = cut(canonical_sentences(grouped), "groups")
     if s.flatten_lists:
         groups = structure.flatten_lists(groups)
@@ -71,10 +100,13 @@ def run_pipeline(chunks: DataFrame, settings: Settings | None = None, header_dec
     stitched = structure.stitch(placed, min_len=s.min_len, max_len=s.max_len).select(F.col("document_id").alias("_d"), F.col("pos").alias("_p"), F.col("text").alias("_text"), "merged")
     joined = placed.join(stitched, placed["document_id"].eqNullSafe(stitched["_d"]) & (placed["pos"] == stitched["_p"])).drop("_d", "_p")
     whole = joined.withColumn("text", F.when(F.col("merged") > 1, F.col("_text")).otherwise(F.col("text"))).withColumn("id", F.concat("id", F.when(F.col("is_flat"), "-flat").otherwise(""), F.when(F.col("merged") > 1, "-stitched").otherwise(""))).drop("_text")
-    whole = finish.canonical_rows(whole.withColumn("is_canonical", F.lit(True)), s.targets)
+    whole = whole.withColumn("is_canonical", F.lit(True))
+    if s.targets == "all":
+        whole = all_variants(whole, grouped)
+    whole = finish.canonical_rows(whole, s.targets)
     if s.use_text_clean:
         whole = finish.clean_offline(whole)
     whole = reduce(DataFrame.transform, steps, whole)
-    once = finish.dedupe(cut(whole, "whole"))
+    once = finish.dedupe(cut(whole, "whole"), order="place" if s.targets == "all" else "pos")
     scored = once.withColumn("quality_score", finish.quality_score(F.col("text"), F.lit(False))).withColumn("flags", F.create_map(F.lit("continues"), F.lit(False), F.lit("error"), F.lit(False))).withColumn("metadata", F.to_json(F.struct(F.col("variants"), F.col("is_flat").alias("flattened"), (F.col("merged") > 1).alias("stitched"))))
     return finish.package(scored, RUN_TIMESTAMP, s.version)
