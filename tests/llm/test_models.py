@@ -129,6 +129,15 @@ def test_scan_faults(spark):
     assert scan_repair.scan_faults(df.limit(0)).count() == 0
 
 
+def test_running_lines_without_page_numbers(spark):
+    words = "rừng biển núi sông".split()
+    rows = [(f"a{p}", "a", p, 0, f"Xem các văn bản liên quan\nTrang này nói về {w}.\nNgười dân {w} đã góp ý.\nĐoạn nữa về {w} ở đây.\nBản này chỉ để tham khảo") for p, w in enumerate(words)]
+    rows += [(f"b{p}", "b", p, 0, "Một dòng như nhau\nvà dòng tiếp theo nó") for p in range(4)]
+    rows += [(f"c{p}", "c", p, 0, f"{'Chỉ hai trang' if p < 2 else 'Khác ' + w}\nnội dung về {w}") for p, w in enumerate(words)]
+    got = sorted((r["chunk_id"], r["line_no"], r["fault"]) for r in scan_repair.scan_faults(spark.createDataFrame(rows, "id string, document_id string, page int, offset int, text string")).collect())
+    assert got == sorted((f"a{p}", n, "running") for p in range(4) for n in (0, 4))
+
+
 def test_line_model():
     m = scan_repair.LineModel.prior()
     n, r, p, s = scan_repair.NUMBER, scan_repair.RECURRING, scan_repair.PLAIN, scan_repair.SPLIT
