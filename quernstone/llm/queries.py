@@ -47,8 +47,9 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _values(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    chunks, sentences = _table(spark, sf_dir, "chunks"), _table(spark, sf_dir, "sentences")
-    return chunks.select(F.lit("chunks").alias("tbl"), F.col("id").alias("rec_id"), "text").unionByName(sentences.select(F.lit("sentences").alias("tbl"), F.col("id").alias("rec_id"), "text")), chunks
+    """(tbl, rec_id, text, document_id, page, off) of both tables, and (document_id, source)."""
+    both = [_table(spark, sf_dir, t).select(F.lit(t).alias("tbl"), F.col("id").alias("rec_id"), "text", "document_id", "page", F.col("offset").alias("off")) for t in ("chunks", "sentences")]
+    return both[0].unionByName(both[1]), _table(spark, sf_dir, "source_docs").select(F.col("id").alias("document_id"), F.col("site_id").alias("source"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
