@@ -77,8 +77,19 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue_documents(_table(spark, sf_dir, "documents")).select("doc_id")
 
 
+def p10_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with a text but no residue."""
+    docs = _table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id").join(residue.residue_documents(docs).select("doc_id"), "doc_id", "left_anti")
+
+
+def p10_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without its residue."""
+    return residue.clean_documents(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found)}
+    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found, p10_kept, p10_cleaned)}
 
 
 _P2 = f"""
