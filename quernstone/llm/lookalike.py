@@ -55,6 +55,7 @@ def _tables() -> tuple[dict[int, str], dict[int, str], re.Pattern[str]]:
     singles = {cp: m for cp in range(0x10000) if not 0xD800 <= cp <= 0xDFFF and (m := _mapped(cp)) is not None}
     for k, v in list(singles.items()):
         singles[k] = "".join(x if (m := _mapped(ord(x))) is None else m for x in v)
+    singles.update(dict.fromkeys(range(0xE0000, 0xE1000), ""))
     letters = {ord(a): b for a, b in LOOKALIKE_LETTERS.items()}
     changing = [chr(cp) for cp in range(0x10000) if not 0xD800 <= cp <= 0xDFFF and (cp in singles or unicodedata.combining(chr(cp)) or any(ord(x) in letters for x in unicodedata.normalize("NFD", chr(cp))) or unicodedata.normalize("NFC", chr(cp)) != chr(cp))]
     return singles, letters, re.compile(f"[{re.escape(''.join(changing))}\U000e0000-\U000e0fff]")
@@ -65,8 +66,7 @@ def skeleton(text: str) -> str:
     singles, letters, changing = _tables()
     if not changing.search(text):
         return text
-    text = re.sub("[\U000e0000-\U000e0fff]", "", text.translate(singles))
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text).translate(letters))
+    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(singles)).translate(letters))
 
 
 @F.arrow_udf(T.StringType())

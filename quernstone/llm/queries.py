@@ -15,8 +15,16 @@ from quernstone.sources.tables import table as _table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sample = _table(spark, sf_dir, "chunks").select("id", "text").join(_table(spark, sf_dir, "split_sample").select(F.col("chunk_id").alias("id")).distinct(), "id", "left_semi")
-    return sentences.split_sentences(cut(sample, "sample")).select(F.col("id").alias("chunk_id"), "end_pos")
+    """Trained on the other chunks, split_sample's are split."""
+    chunks = _table(spark, sf_dir, "chunks").select("id", "text")
+    named = _table(spark, sf_dir, "split_sample").select(F.col("chunk_id").alias("id")).distinct()
+    sample = cut(chunks.join(named, "id", "left_semi"), "sample")
+    return sentences.split_sentences(sample, examples=chunks.join(named, "id", "left_anti")).select(F.col("id").alias("chunk_id"), "end_pos")
+
+
+def p1_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sentence units of every chunk."""
+    return sentences.split_sentences(_table(spark, sf_dir, "chunks")).select(F.col("id").alias("chunk_id"), "sentence_no", "start_pos", "end_pos", "text")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +97,7 @@ def p10_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found, p10_kept, p10_cleaned)}
+    return {f.__name__: f for f in (p1_found, p1_units, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found, p10_kept, p10_cleaned)}
 
 
 _P2 = f"""
