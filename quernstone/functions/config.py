@@ -43,6 +43,12 @@ class Settings:
     max_len: int = 512
     rpm: int = 10
     rpm_floor: int = 2
+    rpm_header: int = 10
+    rpm_text: int = 10
+    rpm_classify: int = 10
+    rpm_merge: int = 10
+    header_max_retries: int = 5
+    header_retry_budget_sec: float = 120.0
     max_retries: int = 5
     retry_budget_sec: float = 180.0
     base_backoff_sec: float = 1.0

@@ -36,14 +36,17 @@ def strip_prefix(text: Column, count: Column) -> Column:
 
 
 def strip_headers(chunks: DataFrame, decide=None) -> DataFrame:
-    """chunks with text stripped of headers, and columns header_removed, header_lines.
+    """chunks with text stripped of headers, and columns header_removed, header_lines, header_confidence.
 
-    decide: DataFrame of candidates (id, head) -> (id, action, removed_lines); None decides nothing.
+    decide: DataFrame of candidates (id, head) -> (id, action, removed_lines[, header_confidence]); None decides nothing, and so
+    does any other action than strip_prefix.
     """
     if decide is None:
-        return chunks.withColumn("header_removed", F.lit(0)).withColumn("header_lines", F.lit(None).cast("array<string>"))
+        return chunks.withColumn("header_removed", F.lit(0)).withColumn("header_lines", F.lit(None).cast("array<string>")).withColumn("header_confidence", F.lit(None).cast("double"))
     asked = chunks.where(is_candidate(F.col("text"), F.col("page"), F.col("offset"))).select("id", numbered_head(F.col("text")).alias("head"))
-    answers = decide(asked).select(F.col("id").alias("_id"), F.when(F.col("action") == "strip_prefix", removable(F.col("removed_lines"))).otherwise(0).alias("header_removed")).where("header_removed > 0")
+    answered = decide(asked)
+    sure = F.col("header_confidence").cast("double") if "header_confidence" in answered.columns else F.lit(None).cast("double")
+    answers = answered.select(F.col("id").alias("_id"), sure.alias("header_confidence"), F.when(F.col("action") == "strip_prefix", removable(F.col("removed_lines"))).otherwise(0).alias("header_removed")).where("header_removed > 0")
     joined = chunks.join(answers, chunks["id"] == answers["_id"], "left").drop("_id").withColumn("header_removed", F.coalesce("header_removed", F.lit(0)))
     preview = F.when(F.col("header_removed") > 0, F.slice(F.slice(lines(F.col("text")), 1, F.greatest("header_removed", F.lit(1))), 1, PREVIEW_LINES))
     return joined.withColumn("header_lines", preview).withColumn("text", strip_prefix(F.col("text"), F.col("header_removed")))

@@ -20,6 +20,24 @@ def sentence_rows(chunks: DataFrame, id_col: str = "id", text_col: str = "text",
     return parts.select(*keep, "chunk_id", "sentence_index", F.concat(F.col("chunk_id").cast("string"), F.lit("#s"), F.col("sentence_index").cast("string")).alias("sentence_id"), nfkc_squeezed("_raw").alias("text"))
 
 
+def split_rows(chunks: DataFrame, splitter=None, keep: tuple[str, ...] = ("document_id", "page", "offset")) -> DataFrame:
+    """As sentence_rows, by the spans that splitter proposes: DataFrame (id, text) -> (id, i, start, end) in order, positions from 0.
+
+    Proposed spans are repaired to cover the text; a chunk without any is split by the rule. Blank parts keep their index.
+    """
+    if splitter is None:
+        return sentence_rows(chunks, keep=keep)
+    rows = chunks.where(F.length(F.coalesce("text", F.lit(""))) > 0)
+    sizes = rows.select("id", F.length("text").alias("n"))
+    proposed = splitter(rows.select("id", "text")).select("id", "i", "start", "end").join(sizes, "id")
+    spans = repair_spans(proposed, "id")
+    parts = spans.join(rows.select("id", "text"), "id").select("id", F.struct("start", F.expr("substring(text, start + 1, end - start)").alias("part")).alias("s"))
+    listed = parts.groupBy(F.col("id").alias("_id")).agg(F.transform(F.sort_array(F.collect_list("s")), lambda s: s["part"]).alias("_parts"))  # the parts of one chunk
+    joined = rows.join(listed, rows["id"] == listed["_id"], "left").withColumn("_parts", F.coalesce("_parts", raw_sentences(F.col("text"))))
+    out = joined.select(*keep, F.col("id").alias("chunk_id"), F.posexplode("_parts").alias("sentence_index", "_raw")).where(F.length(strip(F.col("_raw"))) > 0)
+    return out.select(*keep, "chunk_id", "sentence_index", F.concat(F.col("chunk_id").cast("string"), F.lit("#s"), F.col("sentence_index").cast("string")).alias("sentence_id"), nfkc_squeezed("_raw").alias("text"))
+
+
 def repair_spans(spans: DataFrame, by: str, n: str = "n") -> DataFrame:
     """(by, start, end) that cover 0..n without overlap: proposed spans (by, i, start, end, n) in order, gaps filled.
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions.config import Settings
@@ -50,7 +51,7 @@ def retry_delay(hint: Column) -> Column:
     number = r"^[+-]?(\d+\.?\d*|\.\d+)$"
     return (
         F.when(s.startswith("{"), F.coalesce(parts["seconds"], F.lit(0.0)) + F.coalesce(parts["nanos"], F.lit(0.0)) / 1e9)
-        .when(s.endswith("ms") & F.expr("true"), F.when(F.regexp_replace(s, "ms$", "").rlike(number), F.regexp_replace(s, "ms$", "").try_cast("double") / 1000.0))
+        .when(s.endswith("ms"), F.when(F.regexp_replace(s, "ms$", "").rlike(number), F.regexp_replace(s, "ms$", "").try_cast("double") / 1000.0))
         .when(s.endswith("s"), F.when(F.regexp_replace(s, "s$", "").rlike(number), F.regexp_replace(s, "s$", "").try_cast("double")))
         .when(s.rlike(number), s.try_cast("double"))
     )
@@ -151,3 +152,63 @@ def call_with_retry(call: Callable[[int], object], settings: Settings, limiter:
                 model = (model + 1) % models if attempt % 3 == 2 else model
             sleep(min(wait + jitter(), max(0.0, settings.retry_budget_sec - (clock() - began))))
     return out
+
+
+def rpm_of(settings: Settings, operation: str) -> int:
+    """Requests a minute of an operation: the overall rate if it is above zero, else the operation's own."""
+    return settings.rpm if settings.rpm > 0 else int(getattr(settings, f"rpm_{operation}", settings.rpm_floor))
+
+
+def policy_of(settings: Settings, operation: str) -> Settings:
+    """The settings with the operation's own attempts and time: headers have theirs."""
+    if operation == "header":
+        return replace(settings, max_retries=settings.header_max_retries, retry_budget_sec=settings.header_retry_budget_sec)
+    return settings
+
+
+def limiter_of(settings: Settings, operation: str, tasks: int = 1, bucket: TokenBucket | None = None, sleep: Callable[[float], None] = time.sleep) -> Limiter:
+    """The limiter of an operation's calls, over a bucket if one is given."""
+    made = Limiter(rpm_of(settings, operation), settings.rpm_floor, settings.slowdown, tasks, sleep=sleep)
+    return made if bucket is None else BucketLimiter(made, bucket)
+
+
+class BucketLimiter(Limiter):
+    """A limiter that takes its calls from a bucket, and waits while that is empty."""
+
+    def __init__(self, paced: Limiter, bucket: TokenBucket):
+        super().__init__(paced.rpm, paced.floor, paced.slow, paced.tasks, paced.cap, paced.clock, paced.sleep)
+        self.bucket = bucket
+
+    def wait(self) -> None:
+        while not self.bucket.take():
+            self.sleep(1.0 / self.bucket.per_second)
+
+    def penalize(self) -> None:
+        self.bucket.penalize()
+
+
+def batched(ask: Callable[[int, list[dict]], list], settings: Settings, operation: str, batch: int, answer: str = "int", tasks: int | None = None, models: int = 1, sleep: Callable[[float], None] = time.sleep):
+    """A decider: DataFrame of questions (key, ...) -> (key, decision), asked in batches inside the tasks, with retry and throttling.
+
+    ask(model, rows of a batch) -> one answer a row; a short answer leaves the rest null, and so does a call that is given up.
+    The rate is shared out over `tasks` partitions, into which the questions are put (by default the cluster's parallelism).
+    """
+    policy = policy_of(settings, operation)
+
+    def decide(questions: DataFrame) -> DataFrame:
+        n = tasks or questions.sparkSession.sparkContext.defaultParallelism
+
+        def run(batches):
+            limiter = limiter_of(settings, operation, n, sleep=sleep)
+            for b in batches:
+                for a in range(0, b.num_rows, batch):
+                    part = b.slice(a, batch)
+                    rows = part.to_pylist()
+                    out = call_with_retry(lambda model: ask(model, rows), policy, limiter, models, sleep=sleep)
+                    got = list(out.value)[: len(rows)] if out.ok and out.value is not None else []
+                    kind = pa.int32() if answer == "int" else pa.string()
+                    yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(got + [None] * (len(rows) - len(got)), kind)], names=["key", "decision"])
+
+        return questions.repartition(n, "key").mapInArrow(run, f"key string, decision {answer}")
+
+    return decide

@@ -39,7 +39,8 @@ def is_heading_or_item(t: Column, min_len: int = 8) -> Column:
 
 
 def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len: int = 512) -> DataFrame:
-    """(by, pos, text, merged): fragments put together, at most three, as long as the first isn't final and the next is open.
+    """(by, pos, text, merged, members): fragments put together, at most three, as long as the first isn't final and the next
+    is open; members: their positions.
 
     rows: (by, pos, text, is_flat), pos unique within by. How far each fragment would reach depends on the next two alone;
     which of them start one is a walk along these reaches.
@@ -49,7 +50,7 @@ def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len:
     # white space inside the mark's line is none: the text is stripped
     x = rows.select(by, "pos", t.alias("t"), F.coalesce("is_flat", F.lit(False)).alias("flat")).withColumn("final", F.col("t").rlike(FINAL)).withColumn("apart", is_heading_or_item(F.col("t"), min_len) | F.col("flat")).withColumn("n", F.length("t"))
     for d in (1, 2):
-        for c in ("t", "final", "apart", "n"):
+        for c in ("t", "final", "apart", "n", "pos"):
             x = x.withColumn(f"{c}{d}", F.lead(c, d).over(order))
     two = ~F.col("flat") & F.col("t1").isNotNull() & ~F.col("final") & ~F.col("apart1") & (F.col("n") + F.col("n1") <= max_len)
     three = two & F.col("t2").isNotNull() & ~F.col("final1") & ~F.col("apart2") & (F.col("n") + 1 + F.col("n1") + F.col("n2") <= max_len)
@@ -61,4 +62,4 @@ def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len:
     pieces = x.groupBy(by, "piece").agg(F.sort_array(F.collect_list(F.struct("row", "reach"))).alias("held")).select(by, F.col("held")[0]["row"].alias("first"), F.expr("transform(held, h -> h.reach)").alias("reaches")).select(by, F.explode(F.expr(walk.replace("array() AS", "cast(array() AS array<int>) AS"))).alias("at"), "first")
     starts = pieces.select(by, (F.col("first") + F.col("at")).alias("row"))
     text = F.when(F.col("reach") == 3, F.concat_ws(" ", "t", "t1", "t2")).when(F.col("reach") == 2, F.concat_ws(" ", "t", "t1")).otherwise(F.col("t"))
-    return x.join(starts, [by, "row"]).select(by, "pos", text.alias("text"), F.col("reach").alias("merged"))
+    return x.join(starts, [by, "row"]).select(by, "pos", text.alias("text"), F.col("reach").alias("merged"), F.slice(F.array("pos", "pos1", "pos2"), 1, F.col("reach")).alias("members"))

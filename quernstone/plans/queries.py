@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quernstone.functions import text as tx
-from quernstone.operators import finish, header, sentences, serving, similarity, structure
+from quernstone.operators import cleaning, finish, header, sentences, serving, similarity, structure
 from quernstone.plans.pipeline import run_pipeline
 from quernstone.sources import tables
 from quernstone.sources.tables import table
@@ -235,7 +235,12 @@ def merge_candidates(spark, d):
     return similarity.merge_candidates(reps, ASSIST).select("i", "j", F.col("rank").cast("bigint").alias("rank"), F.round("similarity", 6).alias("similarity"))
 
 
-@_query()
+@_query(
+    f"WITH RECURSIVE {_GROUPS}, reps AS (SELECT v.pos, v.e FROM v JOIN (SELECT DISTINCT root FROM roots) r ON v.pos = r.root), near AS (SELECT a.pos AS i, b.pos AS j, list_inner_product(a.e, b.e) AS s, row_number() OVER (PARTITION BY a.pos ORDER BY list_inner_product(a.e, b.e) DESC, b.pos) AS rank FROM reps a, reps b), "
+    f"confirmed AS MATERIALIZED (SELECT i, j, row_number() OVER (ORDER BY i, rank, j) AS k FROM near WHERE rank <= 6 AND i <> j AND s >= {ASSIST}), "
+    "fold AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS gone, NULL::BIGINT AS absorbed, NULL::BIGINT AS \"into\" UNION ALL SELECT c.k, CASE WHEN list_contains(f.gone, c.i) OR list_contains(f.gone, c.j) THEN f.gone ELSE list_append(f.gone, c.j) END, CASE WHEN NOT list_contains(f.gone, c.i) AND NOT list_contains(f.gone, c.j) THEN c.j END, CASE WHEN NOT list_contains(f.gone, c.i) AND NOT list_contains(f.gone, c.j) THEN c.i END FROM fold f JOIN confirmed c ON c.k = f.k + 1) "
+    'SELECT absorbed, "into" FROM fold WHERE absorbed IS NOT NULL'
+)
 def greedy_absorb(spark, d):
     reps = similarity.group_variants(_vectors(spark, d), PAIRS).where("pos = root").select("document_id", "pos", "embedding")
     return similarity.greedy_absorb(similarity.merge_candidates(reps, ASSIST).select("document_id", "i", "j", "rank")).select("absorbed", "into")
@@ -334,6 +339,44 @@ def retry_delay_parse(spark, d):
     return rows.select("hint", F.round(serving.retry_delay(F.col("hint")), 6).alias("seconds"))
 
 
+# Replies of a cleaning model: (answered, block_reason, candidates, finish_reason, text, parts), and what becomes of the text 'raw'.
+_REPLIES = [
+    ("TRUE, NULL, 1, 'STOP', '{\"clean_text\": \"clean\", \"ops\": [\"merge_lines\", null, 7], \"flags\": {\"continues\": true, \"odd\": true}}', NULL", "clean", "merge_lines,7", "true", "none", 0.9),
+    ("TRUE, NULL, 1, 'STOP', NULL, ARRAY('{\"clean_text\": \"\", ', '\"ops\": [], \"flags\": {}}')", "", "", "none", "none", 0.6),
+    ("TRUE, NULL, 1, NULL, '{\"ops\": \"fix_bullets\", \"flags\": [1]}', NULL", "raw", "fix_bullets", "none", "true", 0.9),
+    ("TRUE, 'SAFETY', 1, 'STOP', '{}', NULL", "raw", "safety_blocked", "none", "true", 0.72),
+    ("TRUE, NULL, 0, NULL, NULL, NULL", "raw", "empty_candidate", "none", "true", 0.7),
+    ("TRUE, NULL, 1, 'max_tokens', '{}', NULL", "raw", "max_tokens_truncated", "none", "true", 0.72),
+    ("TRUE, NULL, 1, 'RECITATION', '{}', NULL", "raw", "finish_recitation", "none", "true", 0.72),
+    ("TRUE, NULL, 1, 'STOP', '', NULL", "raw", "empty_candidate", "none", "true", 0.7),
+    ("TRUE, NULL, 1, 'STOP', 'not json', NULL", "raw", "client_error", "none", "true", 0.7),
+    ("FALSE, NULL, NULL, NULL, NULL, NULL", "raw", "quota_fallback", "none", "true", 0.75),
+    ("NULL, NULL, NULL, NULL, NULL, NULL", "raw", "fallback_passthrough", "none", "true", 0.0),
+]
+
+
+@_query("SELECT * FROM (VALUES " + ", ".join(f"({i}, '{text}', '{ops}', '{cont}', '{err}', {q}::DOUBLE)" for i, (_, text, ops, cont, err, q) in enumerate(_REPLIES)) + ") AS t(n, clean_text, ops, continues, error, quality)")
+def clean_outcomes(spark, d):
+    """The outcome of each kind of reply; the last row has none."""
+    rows = spark.sql("SELECT n, struct(answered, block_reason, candidates, finish_reason, text, parts) AS reply FROM VALUES " + ", ".join(f"({i}, {r})" for i, (r, *_) in enumerate(_REPLIES)) + " AS t(n, answered, block_reason, candidates, finish_reason, text, parts)")
+    reply = F.when(F.col("reply.answered").isNotNull(), F.col("reply").cast(cleaning.REPLY))
+    out = rows.select("n", cleaning.outcome(reply, F.lit("raw")).alias("o"))
+    flag = lambda name: F.coalesce(F.col("o.flags")[name].cast("string"), F.lit("none"))
+    return out.select("n", "o.clean_text", F.array_join("o.ops", ",").alias("ops"), flag("continues").alias("continues"), flag("error").alias("error"), "o.quality")
+
+
+@_query(
+    f"WITH parts AS (SELECT id, text, length(text) AS n, unnest(range(0, greatest(1, (length(text) + 39) // 40))) AS i FROM chunks WHERE length(text) > 0), cut AS (SELECT id, i, {_squeeze_sql(nfkc_sql('substr(text, i * 40 + 1, 40)'))} AS text FROM parts) "
+    "SELECT id AS chunk_id, i::BIGINT AS sentence_index, id || '#s' || i AS sentence_id, text FROM cut WHERE text <> ''"
+)
+def split_by_spans(spark, d):
+    """A splitter that proposes every second stretch of 40 characters: repair fills in the others."""
+    every = F.posexplode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil((F.length("text") - 40) / 80)).cast("int")))
+    propose = lambda rows: rows.select("id", every.alias("i", "k"), F.length("text").alias("n")).select("id", "i", (F.col("k") * 80).alias("start"), F.least(F.col("k") * 80 + 40, F.col("n")).alias("end"))
+    rows = sentences.split_rows(table(spark, d, "chunks"), propose, keep=())
+    return rows.select("chunk_id", F.col("sentence_index").cast("bigint").alias("sentence_index"), "sentence_id", "text")
+
+
 @_query("SELECT id, sha1('clf' || coalesce(document_id, '') || coalesce(text, '')) AS cache_key, substr(text, 1, 400) AS trimmed FROM chunks")
 def cache_key(spark, d):
     return table(spark, d, "chunks").select("id", tx.fingerprint(F.lit("clf"), F.col("document_id"), F.col("text")).alias("cache_key"), tx.trim_to_tokens(F.col("text"), 100).alias("trimmed"))
