@@ -76,6 +76,7 @@ ASKED = ["your name", "tên cơ quan", "ngày tháng", "title", "customer_name",
 
 #: Where a placeholder may begin and end; what lies between is judged by the model.
 _BRACKETED = re.compile(r"\{\{[^{}\n]{1,60}\}\}|[$#]\{[^{}\n]{1,60}\}|\{%[^{}\n]{1,60}%\}|\{[^{}\n]{1,60}\}|\[\[[^\[\]\n]{1,60}\]\]|\[[^\[\]\n]{1,60}\]|<%[^<>\n]{1,60}%>|<[^<>\n]{1,60}>|«[^«»\n]{1,60}»|%\([^()\n]{1,60}\)s|(?<![\w%])%[^\W\d][\w.]{1,60}%(?!\w)|(?<![\w$])\$[^\W\d][\w.]{1,60}\$(?!\w)|@@[^@\s]{1,60}@@|(?<!\w)__(?!_)\w{1,60}?__(?!\w)")
+_OPENING = "{[<«%$@_"
 #: Words before a placeholder, or marks around it, that make it a thing spoken about.
 _NAMED = re.compile(r"(?:có dạng|dạng|cú pháp|ký hiệu|ví dụ|chẳng hạn|gọi là|mang tên|of the form|such as|like|e\.g\.|for example|par exemple|например|例如|[“\"‘'`「（(])\s*[:“\"‘'`「]?\s*$", re.I)
 _ASKED = re.compile(r"\[(?:insert|enter|your|điền|nhập|chèn|ghi rõ|insérer|вставить|请填写|入力)\s[^\]\n]{1,60}\]", re.I)
@@ -196,8 +197,8 @@ def _sums(df: DataFrame, run, tables: int) -> np.ndarray:
 
 
 def natural_counts(texts: list[str]) -> np.ndarray:
-    """(orders + 1, BUCKETS) counts of n-grams in prose by order, and of shape n-grams in all lines."""
-    sym, shape = symbols(texts)[0], symbols(texts, shapes=True)[0]
+    """(orders + 1, BUCKETS) counts of n-grams in prose by order, and of shape n-grams outside of anything bracketed."""
+    sym, shape = symbols(texts)[0], symbols([_BRACKETED.sub(" ", t) if any(c in t for c in _OPENING) else t for t in texts], shapes=True)[0]
     return np.concatenate([_tables(sym, prose(sym)), np.bincount(grams(shape), minlength=BUCKETS)[None]])
 
 
@@ -333,7 +334,7 @@ def find_residue(texts: list[str], model: np.ndarray, coverage: float = COVERAGE
             edges = np.flatnonzero(np.diff(np.concatenate([[0], cover[x : y + 1].astype(np.int8), [0]])))
             got = [(*span(x + int(u), min(x + int(v), y), i), kind_of(x + u, x + v)) for u, v in zip(edges[::2], edges[1::2]) if v - u >= LONG_RUN]
         found[i] += got
-    if any(c in t for t in texts for c in "{[<«%$@_"):
+    if any(c in t for t in texts for c in _OPENING):
         _find_placeholders(texts, model[-1], found)
     return found
 

@@ -93,6 +93,10 @@ def test_near_duplicates(spark):
     df = spark.createDataFrame(rows, "id string, text string, words int")
     got = {(r["id_a"], r["id_b"]) for r in near_dup.near_duplicates(df).collect()}
     assert got <= want and len(got) >= 0.98 * len(want) > 30
+    sets_df = near_dup.word_sets(df).groupBy("set_id").agg({"words": "first"}).withColumnRenamed("first(words)", "words")
+    whole = {(r["a"], r["b"]) for r in near_dup.similar_sets(sets_df).collect()}
+    split = {(r["a"], r["b"]) for r in near_dup.similar_sets(sets_df, bucket=0).collect()}
+    assert split <= whole and len(split) >= 0.98 * len(whole)
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
@@ -105,5 +109,5 @@ def test_estimate_is_near_the_similarity():
         b = a.copy()
         b[: int(400 * (1 - share) / (1 + share) * 1)] = rng.integers(0, 2**63, int(400 * (1 - share) / (1 + share)), dtype=np.uint64)
         true = len(set(a) & set(b)) / len(set(a) | set(b))
-        bits = near_dup.packed_bits(near_dup.minima(np.concatenate([a, b]), np.array([0, len(a)])))
+        bits = near_dup.packed_bits(near_dup.minima(np.concatenate([a, b]), np.array([0, len(a)])), np.array([len(a), len(b)]))
         assert abs(near_dup.estimate(bits[0].tolist(), bits[1].tolist()) - true) < near_dup.MARGIN

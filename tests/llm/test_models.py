@@ -59,10 +59,48 @@ def test_posteriors_are_probabilities_and_certain_gaps_hold():
     model = sentences.train_model(TEXTS)
     text = "Một. Hai.\n\nBa bốn. Năm"
     gaps = {e: c for e, _, c in sentences.candidates(text)}
-    p = model.posteriors(text, gaps)
+    p = model.marked.posteriors(text, gaps)
     assert all(0 <= x <= 1 + 1e-9 for x in p.values()) and p[9] == pytest.approx(1)
 
 
+def test_stretches_are_summed_as_the_whole_text_is():
+    """Against a sum over every way to place the events."""
+    import itertools
+
+    model = sentences.train_model(TEXTS).marked
+    text = "Theo ThS. N. thì v.v. Điều 38. Phí bảo trì đường. Xong? Chưa."
+    gaps = {e: c for e, _, c in sentences.candidates(text)}
+    steps, open_gaps = model.lattice(text, gaps), [e for e, c in gaps.items() if c == 0]
+    mass = dict.fromkeys(open_gaps, 0.0)
+    total = 0.0
+    for chosen in itertools.product((False, True), repeat=len(open_gaps)):
+        on = dict(zip(open_gaps, chosen))
+        h, q = (sentences.START, "S"), 1.0
+        for plain, event, at in steps:
+            h, x = model._follow(h, event if event is not None and on.get(at) else plain)
+            q *= x
+        q *= model._follow(h, ("S",))[1]
+        total += q
+        for e in open_gaps:
+            mass[e] += q * on[e]
+    p = model.posteriors(text, gaps)
+    assert len(open_gaps) > 3 and all(p[e] == pytest.approx(mass[e] / total, abs=1e-6) for e in open_gaps)
+
+
+def test_text_without_marks_and_other_scripts():
+    model = sentences.train_model([t for t in TEXTS for _ in range(3)])
+    for t in (TEXTS[0], TEXTS[6]):
+        bare, ends = sentences.without_marks(t, sentences.annotate(t))
+        assert bare.rstrip()[-1] not in sentences.FINALS and ends[-1] == len(bare)
+    plain = "Vật liệu gồm cát Căn cứ Quy chế số 42 Chi cục gia hạn từ ngày hôm qua theo đơn đã nộp"
+    assert sentences.bare_paragraphs(plain) == [(0, len(plain))] and not sentences.bare_paragraphs(plain + ".")
+    assert {e for e, _, _ in sentences.bare_candidates(plain)} == {i for i, c in enumerate(plain) if c == " "}
+    assert "".join(plain[s:e] for s, e in model.split(plain)).replace(" ", "") == plain.replace(" ", "")
+    assert [c for c in "؟۔។။።։" if c not in sentences.FINALS] == []
+    arabic = "هل صدر القرار الجديد؟ نعم صدر القرار أمس"
+    assert [arabic[s:e] for s, e in model.split(arabic)] == ["هل صدر القرار الجديد؟", "نعم صدر القرار أمس"]
+
+
 def test_sentence_rows(spark):
     rows = [("a", TEXTS[0], 1), ("b", None, 1), ("c", "", 1), ("d", " \n ", 1), ("e", "không dấu", 1), ("f", "Câu dài. " * 3000, 1), ("g", TEXTS[0], 1)]
     df = spark.createDataFrame(rows, "id string, text string, sentence_no int")
@@ -77,24 +115,50 @@ NATURAL = ["Phòng Thủy nông giám sát hợp đồng thuê bãi đỗ xe tro
 
 
 def test_residue(spark):
-    residues = ["404 - Trang không tồn tại", "Về việc {{ten_co_quan}}", "Lorem ipsum dolor sit amet, sed magna aliqua.", "Vui lòng bật JavaScript để xem nội dung văn bản.", "TBD", NATURAL[0] + "\nSố: [điền so_tien]\n" + NATURAL[1]]
-    rows = [(i, t, "x") for i, t in enumerate(NATURAL * 40)] + [(1000 + i, t, "x") for i, t in enumerate(residues)] + [(2000, None, "x"), (2001, "", "x"), (2002, "  \n", "x"), (2003, NATURAL[0] * 3000, "x"), (1100, residues[0], "x")]
+    residues = ["404 - Trang không tồn tại", "Về việc {{ten_co_quan}}", "Lorem ipsum dolor sit amet, sed magna aliqua.", "Vui lòng bật JavaScript để xem nội dung văn bản.", "TBD", NATURAL[0] + "\nSố: [điền so_tien]\n" + NATURAL[1], NATURAL[0] + " Please enable JavaScript in your browser to view this page. " + NATURAL[0]]
+    rows = [(i, t, "x") for i, t in enumerate(NATURAL * 40)] + [(1000 + i, t, "x") for i, t in enumerate(residues)] + [(2000, None, "x"), (2001, "", "x"), (2002, "  \n", "x"), (2003, NATURAL[0] * 3000, "x"), (1100, residues[0], "x"), (2004, "12 345\t67 890\n1 2 3", "x")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, kind string")
     got = {r["doc_id"] for r in residue.residue_documents(df).collect()}
     assert got == {1000 + i for i in range(len(residues))} | {1100}
+    clean = {r["doc_id"]: (r["clean_text"], r["removed"]) for r in residue.clean_documents(df).collect()}
+    assert set(clean) == {r[0] for r in rows} and clean[1000] == ("", len(residues[0])) and clean[2000] == (None, 0) and clean[0] == (NATURAL[0], 0)
+    assert clean[1005][0] == NATURAL[0] + "\nSố: \n" + NATURAL[1] and "JavaScript" not in clean[1006][0] and clean[1006][0].count("Thủy nông") == 2
     assert residue.residue_documents(df.limit(0)).count() == 0
 
 
+def test_seeds_are_not_of_the_tables():
+    """No longer seed stands in the documents, but for phrases that are the same everywhere."""
+    import pyarrow.parquet as pq
+
+    text = "\n".join(t for t in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist() if t)
+    found = {s for s in residue.FILLER_SEEDS + residue.NOTICE_SEEDS if len(s) > 24 and s in text}
+    assert not found and not any(i in text for i in residue.IDENTIFIERS)
+
+
 def test_truncation(spark):
     whole = [f"Phòng {a} giám sát {b} trong vòng {n} ngày làm việc, nếu lối đi chung bị rào chắn." for a in ("Thủy nông", "Hộ tịch", "Kinh tế") for b in ("hợp đồng thuê bãi đỗ xe", "danh mục cầu treo", "bản đồ phân vùng ngập") for n in range(10, 60)]
     chunks = [(f"c{i}", "d", i // 3, i % 3, t, "x") for i, t in enumerate(whole)]
     chunks += [("t2", "f", 1, 0, whole[1] + " Phòng Hộ tịch giám sá", "x"), ("t3", "f", 1, 1, "t bản đồ phân vùng ngập.", "x"), ("t4", "g", None, None, whole[2][:-20] + "[...]", "x"), ("n", "g", None, 1, None, "x"), ("m", "g", None, 2, " ", "x"), ("t5", "h", 1, 0, whole[3][:30] + "�", "x")]
+    # a page that goes on past the running line of the next, and twenty values cut at 100 characters of one source
+    chunks += [(f"p{k}", "r", k, 0, f"Thông báo số 9/KH-TTR   {k}\nlàm việc, nếu lối đi chung bị rào chắn. Phòng Thủy nông giám sát hợp đồng thuê bãi đỗ xe trong vòng 30 ngày", "x") for k in range(4)]
+    long = " ".join(whole)
+    chunks += [(f"q{k}", "s", k, 0, long[k * 37 : k * 37 + 100].strip().ljust(100, "a"), "x") for k in range(20)]
     c = spark.createDataFrame(chunks, "id string, document_id string, page int, offset int, text string, p string")
-    values = c.selectExpr("'chunks' AS tbl", "id AS rec_id", "text")
-    got = {r["rec_id"] for r in truncation.cut_values(values, c).collect()}
-    assert {"t4", "t5"} <= got and "t2" not in got and not {"n", "m"} & got and len(got & {f"c{i}" for i in range(len(whole))}) <= 4
-    assert {r["rec_id"] for r in truncation.going_on(c).collect()} == {"t2"}
-    assert truncation.cut_values(values.limit(0), c.limit(0)).count() == 0
+    values = c.selectExpr("'chunks' AS tbl", "id AS rec_id", "text", "document_id", "page", "offset AS off")
+    sources = spark.createDataFrame([("d", 1), ("f", 1), ("g", 1), ("h", 1), ("r", 1), ("s", 2), ("s", 2)], "document_id string, source int")
+    got = {r["rec_id"] for r in truncation.cut_values(values, sources).collect()}
+    assert {"t4", "t5"} <= got and "t2" not in got and not {"n", "m", "p0", "p1", "p2"} & got and len(got & {f"c{i}" for i in range(len(whole))}) <= 4
+    assert len(got & {f"q{k}" for k in range(20)}) >= 18
+    again = [r["rec_id"] for r in truncation.cut_values(values.unionByName(values.where("rec_id = 't5'")), sources).collect()]
+    assert "t5" in again and len(again) == len(set(again))
+    assert truncation.cut_values(values.limit(0), sources).count() == 0
+
+
+def test_settled_ends():
+    assert truncation.settled("  a\u200bb\u00a0 c -\r\n - ") == "ab c" and truncation.settled("x — y") == "x — y"
+    assert truncation.is_open("Hết") and not truncation.is_open("Hết.”") and truncation.is_open("Hết...") and truncation.is_open("Hết (còn nữa)")
+    a, b, c = truncation.content_keys(["Số: 12; Tên: An", "tên : an\nsố : 34", "Tên: Anh"])
+    assert a == b != c
 
 
 def test_truncation_on_held_out_cuts():
@@ -103,16 +167,28 @@ def test_truncation_on_held_out_cuts():
     rng = random.Random(9)
     parts = [["Phòng Thủy nông", "Ban Quản lý", "Kho bạc khu vực", "The records centre"], ["giám sát", "thông qua", "reviewed"], ["hợp đồng thuê bãi", "bản đồ ngập", "the flood map"], ["trong vòng 9 ngày", "để lưu trữ lâu dài", "if the parties agree"]]
     whole = [" ".join(rng.choice(p) for p in parts) + ", " + rng.choice(parts[3]) + "." for _ in range(900)]
-    stats = np.zeros((5, truncation.BUCKETS), np.int64)
     w = truncation.Words(whole)
     inner = np.ones(w.n, bool)
     inner[w.last_of_text(len(whole))] = False
-    for row, (h, keep) in enumerate([(w.hash, inner), (w.pair, inner & w.adjacent), (w.pair, inner & w.adjacent & w.stops), (w.opener, w.worded), (w.opener, w.worded & ~w.marked)]):
-        stats[row] = np.bincount(h[keep], minlength=truncation.BUCKETS)
-    texts, labels, weights = truncation.artificial(whole[:600], [])
-    model = truncation.train(*truncation.features(texts, stats, []), labels, weights)
-    texts, labels, _ = truncation.artificial(whole[600:], [], seed=1)
-    p = truncation.score(*truncation.features(texts, stats, []), model)
+    seen = truncation.Counts()
+    for keys, column in ((w.hash[inner], 0), (w.pair[inner & w.adjacent], 0), (w.pair[inner & w.adjacent & w.stops], 1), (w.opener[w.worded], 0), (w.opener[w.worded & ~w.marked], 1)):
+        seen.add(keys, column)
+    counts = dict(zip(seen.summed()[0].tolist(), seen.summed()[1].tolist()))
+
+    def inputs(values, seed):
+        made = [x for i, v in enumerate(values) for x in truncation.artificial(v, np.random.default_rng(seed + i))]
+        batch = truncation._ends([(t, t, "chunks", "", None, None, weight, label, limit, None) for t, label, weight, limit in made])
+        looked = [[{"at": k, "n": c[0], "s": c[1], "e": c[2]} for k, key in enumerate(keys) if key is not None and (c := counts.get(key))] for keys in batch.column("keys").to_pylist()]
+        import pyarrow as pa
+
+        table = pa.table({"dense": batch.column("dense"), "tails": batch.column("tails"), "keys": batch.column("keys"), "counts": pa.array(looked), "at_limit": batch.column("limited")})
+        dense, tails, own, _, words = truncation._arrays(table)
+        return truncation.model_inputs(dense, tails, own, words), np.array([m[1] for m in made]), np.array([m[2] for m in made])
+
+    x, labels, weights = inputs(whole[:600], 1)
+    model = truncation.train(*x, labels, weights)
+    x, labels, _ = inputs(whole[600:], 5000)
+    p = truncation.score(*x, model)
     assert ((p >= 0.5) == labels).mean() > 0.95
 
 
