@@ -10,9 +10,8 @@ def test_same_as_sql(spark, name):
     same(QUERIES[name](spark, SMALL), duck(SMALL), ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
-def test_runs(spark, name):
-    assert QUERIES[name](spark, SMALL).count() >= 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):
