@@ -79,27 +79,28 @@ def content_keys(texts: pa.Array) -> pa.Array:
 
 
 @functools.cache
-def _letter_weights() -> np.ndarray:
-    """A fixed 64-bit weight of each letter, digit or accent in lower case, 0 of all else; their sum tells histograms apart."""
+def _letter_weights() -> tuple[np.ndarray, np.ndarray]:
+    """Fixed 64-bit weights of each letter, digit or accent in lower case, 0 of all else, whose sum tells histograms apart; and
+    how many letters each becomes in lower case."""
     weight = np.random.default_rng(4).integers(1, 2**63, 0x110000, dtype=np.int64)
-    table = np.zeros(0x110000, np.int64)
+    table, sizes = np.zeros(0x110000, np.int64), np.zeros(0x110000, np.int64)
     for cp in range(0x32400):
         if not 0xD800 <= cp <= 0xDFFF:
-            table[cp] = sum(int(weight[ord(x)]) >> 8 for x in chr(cp).casefold() if unicodedata.category(x)[0] in "LNM")
-    return table
+            low = [x for x in chr(cp).lower() if unicodedata.category(x)[0] in "LNM"]
+            table[cp], sizes[cp] = sum(int(weight[ord(x)]) >> 8 for x in low), len(low)
+    return table, sizes
 
 
 @F.arrow_udf(T.StructType([T.StructField("length", T.LongType()), T.StructField("histogram", T.LongType())]))
 def invariants(texts: pa.Array) -> pa.Array:
     """Number of letters and digits, and a fingerprint of the letter histogram; the same for all copies of a content."""
-    table, lengths, sums = _letter_weights(), [], []
+    (table, sizes), lengths, sums = _letter_weights(), [], []
     for a in range(0, len(texts), 500):
         block = [t or "" for t in texts.slice(a, 500).to_pylist()]
         cp = np.frombuffer(("\0".join(block) + "\0").encode("utf-32-le", "surrogatepass"), np.uint32)
         starts = np.cumsum([0] + [len(t) + 1 for t in block[:-1]])
-        weight = table[cp]
-        lengths.append(np.add.reduceat((weight != 0).astype(np.int64), starts))
-        sums.append(np.add.reduceat(weight, starts))
+        lengths.append(np.add.reduceat(sizes[cp], starts))
+        sums.append(np.add.reduceat(table[cp], starts))
     none = np.zeros(0, np.int64)
     return pa.StructArray.from_arrays([pa.array(np.concatenate(lengths or [none])), pa.array(np.concatenate(sums or [none]))], ["length", "histogram"])
 

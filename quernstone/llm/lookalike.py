@@ -28,11 +28,17 @@ LOOKALIKE_LETTERS = {
     "А": "A", "В": "B", "Е": "E", "Ѕ": "S", "І": "I", "Ј": "J", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X",
     "а": "a", "с": "c", "ԁ": "d", "е": "e", "һ": "h", "і": "i", "ј": "j", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "ԝ": "w", "х": "x", "у": "y",
     "Ð": "Đ", "Ɖ": "Đ",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "ӏ": "l", "Ү": "Y", "Ѵ": "V", "ѵ": "v", "Ԍ": "G", "Ԛ": "Q", "Ԝ": "W", "ɑ": "a", "ɡ": "g", "ϲ": "c", "ϳ": "j", "Ϲ": "C", "Ϳ": "J", "օ": "o", "ս": "u", "հ": "h", "ո": "n", "Օ": "O", "Տ": "S", "Լ": "L",
 }
 # Hyphens that look like the plain one.
 LOOKALIKE_HYPHENS = {"\u2010": "-", "\u2011": "-"}
 
 
+#: Code points looked at: the basic plane, and the letters of mathematics.
+_RANGE = (*range(0x10000), *range(0x1D400, 0x1D800))
+
+
 def _mapped(cp: int) -> str | None:
     """What one character becomes before accents are composed; None: itself."""
     c = chr(cp)
@@ -44,7 +50,7 @@ def _mapped(cp: int) -> str | None:
     if kind == "Zs":
         return " " if c != " " else None
     form = unicodedata.decomposition(c)
-    if form.startswith(("<wide>", "<narrow>", "<noBreak>")) or form.startswith("<compat>") and kind[0] in "LN":
+    if form.startswith(("<wide>", "<narrow>", "<noBreak>")) or form.startswith("<font>") and kind[0] in "LN" or form.startswith("<compat>") and kind[0] in "LN":
         return unicodedata.normalize("NFKC", c)
     return LOOKALIKE_HYPHENS.get(c)
 
@@ -52,12 +58,12 @@ def _mapped(cp: int) -> str | None:
 @functools.cache
 def _tables() -> tuple[dict[int, str], dict[int, str], re.Pattern[str]]:
     """(single characters, letters after decomposition, what may change at all)."""
-    singles = {cp: m for cp in range(0x10000) if not 0xD800 <= cp <= 0xDFFF and (m := _mapped(cp)) is not None}
+    singles = {cp: m for cp in _RANGE if not 0xD800 <= cp <= 0xDFFF and (m := _mapped(cp)) is not None}
     for k, v in list(singles.items()):
         singles[k] = "".join(x if (m := _mapped(ord(x))) is None else m for x in v)
     singles.update(dict.fromkeys(range(0xE0000, 0xE1000), ""))
     letters = {ord(a): b for a, b in LOOKALIKE_LETTERS.items()}
-    changing = [chr(cp) for cp in range(0x10000) if not 0xD800 <= cp <= 0xDFFF and (cp in singles or unicodedata.combining(chr(cp)) or any(ord(x) in letters for x in unicodedata.normalize("NFD", chr(cp))) or unicodedata.normalize("NFC", chr(cp)) != chr(cp))]
+    changing = [chr(cp) for cp in _RANGE if not 0xD800 <= cp <= 0xDFFF and (cp in singles or unicodedata.combining(chr(cp)) or any(ord(x) in letters for x in unicodedata.normalize("NFD", chr(cp))) or unicodedata.normalize("NFC", chr(cp)) != chr(cp))]
     return singles, letters, re.compile(f"[{re.escape(''.join(changing))}\U000e0000-\U000e0fff]")
 
 

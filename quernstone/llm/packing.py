@@ -29,12 +29,15 @@ ROUNDS = 150
 
 
 def enumerate_patterns(sizes: np.ndarray, counts: np.ndarray, capacity: int) -> list[dict[int, int]]:
-    """Patterns (position of size -> repeats) of at most FEW documents, each closed with the largest size that fits."""
+    """Patterns (position of size -> repeats) of at most FEW documents, or of a run of one size and FEW - 1 others where that
+    doesn't fill a container, each closed with the largest size that fits."""
     order = np.repeat(np.arange(len(sizes)), np.maximum(1, np.minimum(counts, 4 + counts * 4096 // max(1, counts.sum()))))
     patterns, seen, step = [], set(), 0
     for v in range(VARIANTS):
         for i in range(len(sizes) - 1, -1, -1):
-            got, room = {i: 1}, capacity - int(sizes[i])
+            # short documents come in a run of one size, which few others close
+            run = max(1, min(int(counts[i]), capacity // int(sizes[i]) - FEW)) if int(sizes[i]) * FEW < capacity else 1
+            got, room = {i: run}, capacity - run * int(sizes[i])
             for k in range(FEW - 1):
                 fit = int(np.searchsorted(sizes, room, "right")) - 1
                 if fit < 0:

@@ -37,6 +37,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike.lookalike_pairs(classes, ("tbl",))
 
 
+def p3_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical member of each row that looks like a differently built one."""
+    both = [lookalike.lookalike_rows(_table(spark, sf_dir, t)).withColumn("tbl", F.lit(t)) for t in ("chunks", "sentences")]
+    classes = cut(lookalike.lookalike_classes(cut(both[0].unionByName(both[1]), "forms"), ("tbl",)), "classes")
+    several = classes.groupBy("tbl", "class_id").agg(F.min("text_hash").alias("a"), F.max("text_hash").alias("z")).where("a <> z").select("tbl", "class_id")
+    return lookalike.canonical_members(classes.join(several, ["tbl", "class_id"], "left_semi"), ("tbl",))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_copies.format_copies(_table(spark, sf_dir, "chunks")).select("kept_id", "copy_id")
 
@@ -77,6 +85,39 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_documents(_table(spark, sf_dir, "documents"))
 
 
+def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text, decoded from its ids."""
+    return tokens.decode_documents(tokens.encode_documents(_table(spark, sf_dir, "documents")))
+
+
+def p8_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each document, its number of ids, and whether their starts begin at 0, never fall, and stay inside the text."""
+    docs = _table(spark, sf_dir, "documents")
+    rows = tokens.encode_with_offsets(docs).join(docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).alias("n")), "doc_id")
+    rises = F.expr("size(starts) = 0 OR starts[0] = 0 AND starts = array_sort(starts) AND element_at(starts, -1) < n AND size(starts) = size(ids)")
+    return rows.select("doc_id", (F.size("ids") > 0).alias("has_ids"), rises.alias("sound"))
+
+
+def p9_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents placed; containers above the capacity, documents split without need, documents whose tokens don't come out once."""
+    docs = tokens.count_tokens(_table(spark, sf_dir, "documents"))
+    placed = cut(packing.pack_sizes(cut(docs.where("n_tokens > 0"), "sizes")), "placed")
+    pieces = placed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("n_tokens").alias("placed"), F.max(F.col("start_token") + F.col("n_tokens")).alias("end"), F.countDistinct("start_token").alias("starts"))
+    each = docs.where("n_tokens > 0").join(pieces, "doc_id", "left").agg(
+        F.count("placed").alias("documents"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= packing.CAPACITY)).alias("split_without_need"),
+        F.count_if(~F.expr("placed <=> n_tokens AND end <=> n_tokens AND starts <=> pieces")).alias("not_once"),
+    )
+    over = placed.groupBy("container").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > packing.CAPACITY).alias("over_capacity"))
+    return each.join(F.broadcast(over))  # one row each
+
+
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Containers used, the fewest that could hold the tokens, and the share of their room that is filled."""
+    held = packing.pack_documents(_table(spark, sf_dir, "documents")).groupBy("container").agg(F.sum("n_tokens").alias("n"))
+    total = held.agg(F.count("*").alias("containers"), F.sum("n").alias("tokens"))
+    return total.withColumn("least", F.ceil(F.col("tokens") / packing.CAPACITY)).withColumn("fill", F.round(F.col("tokens") / (F.col("containers") * packing.CAPACITY), 6))
+
+
 def p9_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -97,7 +138,7 @@ def p10_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_units, p2_found, p3_found, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p9_pack, p10_found, p10_kept, p10_cleaned)}
+    return {f.__name__: f for f in (p1_found, p1_units, p2_found, p3_found, p3_canonical, p4_found, p5_found, p5_repaired, p6_found, p7_found, p7_site_share, p8_ids, p8_round_trip, p8_offsets, p9_pack, p9_check, p9_fill, p10_found, p10_kept, p10_cleaned)}
 
 
 _P2 = f"""
@@ -113,7 +154,7 @@ SELECT DISTINCT chunk_id, line_no FROM counted JOIN docs USING (document_id) JOI
 def _look_sql(x: str) -> str:
     """The look of a text in SQL: invisible characters go, accents are composed, every character becomes its look, again composed."""
     gone, single, several = [], [], []
-    for cp in (*range(0x7F, 0xD800), *range(0xF900, 0xFFFE)):
+    for cp in (*range(0x7F, 0xD800), *range(0xF900, 0xFFFE), *range(0x1D400, 0x1D800)):
         c = chr(cp)
         k = lookalike.skeleton(c)
         if k == "":
@@ -135,6 +176,17 @@ SELECT a.tbl, a.id AS id_a, b.id AS id_b FROM looks a JOIN looks b ON a.tbl = b.
 """
 
 
+_P3_CANONICAL = f"""
+WITH rows_of AS (SELECT 'chunks' AS tbl, id, text FROM chunks UNION ALL SELECT 'sentences', id, text FROM sentences),
+looks AS (SELECT tbl, id, text, {_look_sql("text")} AS look FROM rows_of WHERE regexp_matches(text, '[^{WS}]')),
+best AS (SELECT tbl, look, min((CASE WHEN text <> look THEN '1' ELSE '0' END) || id) AS best FROM looks GROUP BY tbl, look HAVING count(DISTINCT text) > 1)
+SELECT tbl, id, substr(best, 2) AS canonical_id FROM looks JOIN best USING (tbl, look)
+"""
+_P8 = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
+_P8_OFFSETS = "SELECT doc_id, length(coalesce(text, '')) > 0 AS has_ids, true AS sound FROM documents"
+_P9 = "SELECT count_if(length(text) > 0) AS documents, 0::BIGINT AS split_without_need, 0::BIGINT AS not_once, 0::BIGINT AS over_capacity FROM documents"
+
+
 def _plain_sql(x: str) -> str:
     """Content of a text in SQL: lower case, no white space, punctuation only directly between digits."""
     x = f"lower({x})"
@@ -158,4 +210,4 @@ SELECT id_a, id_b FROM pairs_of JOIN t x ON x.id = id_a JOIN t y ON y.id = id_b
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": _P2, "p3_found": _P3, "p4_found": _P4, "p6_found": _P6}
+    return {"p2_found": _P2, "p3_found": _P3, "p3_canonical": _P3_CANONICAL, "p4_found": _P4, "p6_found": _P6, "p8_round_trip": _P8, "p8_offsets": _P8_OFFSETS, "p9_check": _P9}

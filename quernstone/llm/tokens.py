@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import heapq
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -132,20 +133,31 @@ def piece_starts(cp: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 
 def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Byte-pair merging of one piece by rank."""
+    """Byte-pair merging of one piece by rank: the lowest rank first, the leftmost of equals. A heap of pairs over a linked list."""
     if piece in ranks:
         return [ranks[piece]]
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, where = None, -1
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best is None or r < best):
-                best, where = r, i
-        if best is None:
-            break
-        parts[where : where + 2] = [parts[where] + parts[where + 1]]
-    return [ranks[p] for p in parts]
+    n = len(piece)
+    end = list(range(1, n + 1))  # where the part that starts at i ends; 0 once it is merged away
+    before = list(range(-1, n - 1))
+    heap = [(r, i, i + 1, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        _, i, mid, stop = heapq.heappop(heap)
+        if end[i] != mid or end[mid] != stop:
+            continue  # one of the two has been merged since
+        end[i], end[mid] = stop, 0
+        if stop < n:
+            before[stop] = i
+            if (r := ranks.get(piece[i : end[stop]])) is not None:
+                heapq.heappush(heap, (r, i, stop, end[stop]))
+        j = before[i]
+        if j >= 0 and (r := ranks.get(piece[j:stop])) is not None:
+            heapq.heappush(heap, (r, j, i, stop))
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[piece[i : end[i]]])
+        i = end[i]
+    return out
 
 
 @functools.cache
@@ -182,6 +194,11 @@ class Encoder:
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, their offsets by text)."""
+        ids, offs, _ = self.block_offsets(texts, places=False)
+        return ids, offs
+
+    def block_offsets(self, texts: list[str], places: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+        """(ids of all texts, their offsets by text, of each id the code point of its text in which it begins)."""
         joined = "\0" + "\0".join(texts) + "\0"
         cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
         ends = np.cumsum(np.array([0] + [len(t) + 1 for t in texts]))
@@ -207,7 +224,29 @@ class Encoder:
         np.cumsum(lens, out=total[1:])
         from_ = (np.cumsum(sizes) - sizes)[index]
         ids = flat[np.repeat(from_ - total[:-1], lens) + np.arange(total[-1])] if total[-1] else np.zeros(0, np.int32)
-        return ids, total[np.searchsorted(starts, ends)]
+        offs = total[np.searchsorted(starts, ends)]
+        if not places:
+            return ids, offs, None
+        # bytes of the ids before each within its piece, carried to the block's bytes, and from there to code points
+        length = self.lengths()[ids]
+        run = np.cumsum(length) - length
+        piece_of = np.repeat(np.arange(len(lens)), lens)
+        first = run[np.minimum(total[:-1], max(0, len(ids) - 1))] if len(ids) else np.zeros(len(lens), np.int64)
+        byte_at = offsets[:-1].astype(np.int64)[piece_of] + run - first[piece_of]
+        point = np.searchsorted(at, byte_at, "right") - 1
+        text_of = np.searchsorted(ends, point, "right") - 1
+        return ids, offs, point - ends[text_of] - 1
+
+    @functools.cached_property
+    def _lengths(self) -> np.ndarray:
+        out = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        for word, i in self.ranks.items():
+            out[i] = len(word)
+        return out
+
+    def lengths(self) -> np.ndarray:
+        """Bytes of each id."""
+        return self._lengths
 
 
 @functools.cache
@@ -242,6 +281,22 @@ def encode_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return src.mapInArrow(run, T.StructType([src.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
+def encode_with_offsets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = BYTE_BPE_50K) -> DataFrame:
+    """(doc_id, ids, starts): as encode_documents, with the code point in which each id begins."""
+    src = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+
+    def run(batches):
+        enc = encoder(path)
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            for x, y in blocks(texts):
+                ids, offs, starts = enc.block_offsets(texts[x:y])
+                lists = [pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(v.astype(np.int32))) for v in (ids, starts)]
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(x, y - x), *lists], names=["doc_id", "ids", "starts"])
+
+    return src.mapInArrow(run, T.StructType([src.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("starts", T.ArrayType(T.IntegerType()))]))
+
+
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str = BYTE_BPE_50K) -> DataFrame:
     """(doc_id, n_tokens) of every row, without the ids leaving the worker."""
     src = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
