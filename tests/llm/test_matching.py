@@ -111,3 +111,25 @@ def test_estimate_is_near_the_similarity():
         true = len(set(a) & set(b)) / len(set(a) | set(b))
         bits = near_dup.packed_bits(near_dup.minima(np.concatenate([a, b]), np.array([0, len(a)])), np.array([len(a), len(b)]))
         assert abs(near_dup.estimate(bits[0].tolist(), bits[1].tolist()) - true) < near_dup.MARGIN
+
+
+def test_letters_that_grow_in_lower_case_and_other_scripts(spark):
+    df = spark.createDataFrame([("a", "d", 1, "İstanbul abc"), ("b", "d", 1, "i̇stanbul, ABC")], "id string, document_id string, page int, text string")
+    assert [(r["kept_id"], r["copy_id"]) for r in format_copies.format_copies(df).collect()] == [("a", "b")]
+    assert {lookalike.skeleton(x) for x in ("Hòa", "𝐇òa", "Ꮋòa", "Нòа")} == {"Hòa"} and lookalike.skeleton("ı") == "ı"
+
+
+def test_short_documents_fill_patterns():
+    import numpy as np
+
+    from quernstone.llm import packing
+
+    rng = np.random.default_rng(1)
+    hist = {s: int(rng.integers(50, 400)) for s in range(20, 200)}
+    groups = packing.pack_histogram(hist)
+    held: dict[int, int] = {}
+    for n, d in groups:
+        assert sum(s * m for s, m in d.items()) <= packing.CAPACITY
+        for s, m in d.items():
+            held[s] = held.get(s, 0) + n * m
+    assert held == hist and sum(n for n, _ in groups) == -(-sum(s * c for s, c in hist.items()) // packing.CAPACITY)

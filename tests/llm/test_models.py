@@ -193,15 +193,15 @@ def test_truncation_on_held_out_cuts():
 
 
 def test_scan_faults(spark):
-    body = "Phòng giám sát hợp đồng thuê bãi theo Quyết định 5/QĐ-UBND\nnếu không được giải ngân trước ngày."
-    chunks = [(f"c{p}", "d", p, 0, f"Thông báo số 9/KH-TTR\nTrang {'một hai ba bốn'.split()[p - 1]} nói: {body}\nhợp đồ-\nng thuê {p} và kh#ng theo 6/QĐ-\nUBND {p} sau.\n- {p + 1} -", "x") for p in range(1, 5)]
+    body = "Phòng giám sát hợp đồng thuê bãi theo Quyết định 5/QĐ-UBND\nnếu không được giải ngân"
+    chunks = [(f"c{p}", "d", p, 0, f"Thông báo số 9/KH-TTR\nTrang {'một hai ba bốn'.split()[p - 1]} nói: {body} kỳ {p}.\nmục {p} hợp đồ-\nng thuê {p} và kh#ng theo 6/QĐ-\nUBND {p} sau.\n- {p + 1} -", "x") for p in range(1, 5)]
     chunks += [(f"w{i}", "e", i, 0, "không hợp đồng " * 5, "x") for i in range(6)] + [("n", "d", 1, 1, None, "x"), ("m", None, None, None, "- 3 -", "x"), ("l", "f", 1, 0, "dòng dài " * 50_000, "x")]
     chunks = [(a, b, c, d, t.replace("kh#ng", "k#ông") if t else t, x) for a, b, c, d, t, x in chunks]
     df = spark.createDataFrame(chunks, "id string, document_id string, page int, offset int, text string, key string")
     got = sorted((r["chunk_id"], r["line_no"], r["fault"]) for r in scan_repair.scan_faults(df).collect())
     assert got == sorted(x for p in range(1, 5) for x in ((f"c{p}", 0, "running"), (f"c{p}", 3, "break"), (f"c{p}", 4, "misread"), (f"c{p}", 6, "page_no")))
     text = {r["chunk_id"]: r["repaired_text"] for r in scan_repair.repair_chunks(df).collect()}
-    assert text["c1"] == "Trang một nói: " + body.replace("\n", " ") + " hợp đồng thuê 1 và không theo 6/QĐ- UBND 1 sau." and text["n"] is None
+    assert text["c1"] == "Trang một nói: " + body.replace("\n", " ") + " kỳ 1. mục 1 hợp đồng thuê 1 và không theo 6/QĐ- UBND 1 sau." and text["n"] is None
     assert scan_repair.scan_faults(df.limit(0)).count() == 0
 
 
@@ -215,8 +215,43 @@ def test_running_lines_without_page_numbers(spark):
 
 
 def test_line_model():
+    import numpy as np
+
     m = scan_repair.LineModel.prior()
-    n, r, p, s = scan_repair.NUMBER, scan_repair.RECURRING, scan_repair.PLAIN, scan_repair.SPLIT
-    assert m.labels([r, p, s, p, p, r, n]) == [scan_repair.HEAD, scan_repair.BODY, scan_repair.BREAK, scan_repair.BODY, scan_repair.BODY, scan_repair.FOOT, scan_repair.FOOT]
-    fitted = m.fitted([((p, r, n), 500), ((p, p, p), 500)])
-    assert fitted.emit.sum(axis=1) == pytest.approx([1, 1, 1, 1]) and fitted.labels([p, r, n])[1:] == [scan_repair.FOOT] * 2
+    p, n, r = (scan_repair.PLAIN, 0, 0), (scan_repair.NUMBER, 0, 0), (scan_repair.RECURRING, 0, 0)
+    s, weak = (scan_repair.PLAIN, scan_repair.SPLIT, 0), (scan_repair.PLAIN, scan_repair.WEAK_SPLIT, 0)
+    head, body, brk, foot = range(4)
+    seen = np.array([r, p, s, p, weak, p, r, n])
+    assert m.labels(seen) == [head, body, brk, body, brk, body, foot, foot]
+    # inside a page neither head nor foot is open
+    assert m.labels(seen, False, False) == [body, body, brk, body, brk, body, body, body]
+    # a third and a fourth line above and below are of the head and the foot too
+    assert m.labels(np.array([r, r, r, r, p, p, p, r, r, r, r, n])) == [head] * 4 + [body] * 3 + [foot] * 5
+    fitted = m.fitted([(np.array([p, p, r, n]), True, True)] * 40 + [(np.array([p, s, p]), True, True)] * 40)
+    assert all(e.sum(axis=1) == pytest.approx([1, 1, 1, 1]) for e in (fitted.move, *fitted.emit)) and fitted.labels(np.array([p, p, r, n]))[2:] == [foot] * 2
+
+
+def test_corrections_against_every_word(spark):
+    """By the folded form, the same words are found as by trying each word of the vocabulary."""
+    rng = random.Random(4)
+    letters = "aáàeêlitosbchnmu"
+    vocabulary = {"".join(rng.choice(letters) for _ in range(rng.randint(2, 6))): rng.randint(1, 40) for _ in range(3000)}
+    swap = {y: x for x, ys in scan_repair.CONFUSED.items() for y in ys}
+    tokens = sorted({"".join(swap.get(c, c) if rng.random() < 0.4 else c for c in w) for w in list(vocabulary)[:600]} | {"øøøøø", "l1", "å1ø#ë"})
+    words = spark.createDataFrame([(w, n) for w, n in vocabulary.items()], "word string, n bigint")
+    got = {r["token"]: r["correct"] for r in scan_repair.corrections(spark.createDataFrame([(t,) for t in tokens], "token string"), words).collect()}
+    want = {}
+    for t in tokens:
+        if any(c in scan_repair.CONFUSED for c in t):
+            fits = [(n, w) for w, n in vocabulary.items() if scan_repair.stands_for(t, w) and n >= max(scan_repair.WORD_LEAST, scan_repair.WORD_RATIO * vocabulary.get(t, 0))]
+            if fits:
+                want[t] = max(fits)[1]
+    assert got == want and len(want) > 100
+
+
+def test_running_lines_further_in(spark):
+    heads = ["Cơ quan phát hành văn bản", "Bản tin nội bộ hằng tháng", "Tài liệu dùng trong ngành", "Số đăng ký xuất bản chung"]
+    words = "rừng biển núi sông hồ đồi".split()
+    rows = [(f"a{k}", "a", k, 0, "\n".join([*heads, f"Trang này nói về {w} và {w} khác.", f"Người dân {w} đã góp ý.", f"Đoạn nữa về {w} ở đây.", f"Hết phần {w}."])) for k, w in enumerate(words)]
+    got = sorted((r["chunk_id"], r["line_no"], r["fault"]) for r in scan_repair.scan_faults(spark.createDataFrame(rows, "id string, document_id string, page int, offset int, text string")).collect())
+    assert got == sorted((f"a{k}", n, "running") for k in range(6) for n in range(4))

@@ -80,3 +80,21 @@ def test_packing_of_documents(spark):
         assert sum(x for _, x in parts) == n and [s for s, _ in parts] == [sum(x for _, x in parts[:k]) for k in range(len(parts))]
         assert len(parts) == -(-n // 64)
     assert packing.pack_sizes(spark.createDataFrame([], "doc_id bigint, n_tokens bigint"), 64).count() == 0
+
+
+def test_offsets_and_long_pieces():
+    import numpy as np
+
+    enc = tokens.Encoder()
+    texts = ["", "a", "€uro ñ 漢字 thử", "  x\r\n", "không " * 50]
+    ids, offs, starts = enc.block_offsets(texts)
+    inverse = {i: b for b, i in enc.ranks.items()}
+    for k, t in enumerate(texts):
+        at = np.cumsum([0] + [len(c.encode()) for c in t])
+        place = 0
+        for i, s in zip(ids[offs[k] : offs[k + 1]], starts[offs[k] : offs[k + 1]]):
+            assert s == np.searchsorted(at, place, "right") - 1
+            place += len(inverse[int(i)])
+        assert place == len(t.encode())
+    long = b"abcde" * 20_000
+    assert b"".join(inverse[i] for i in tokens.merge_pairs(long, enc.ranks)) == long
