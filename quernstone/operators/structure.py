@@ -38,8 +38,8 @@ def is_heading_or_item(t: Column, min_len: int = 8) -> Column:
     return (is_upper(t) & (F.length(t) < 32)) | t.rlike(rf"(?iu)^(Chương|Điều|Mục|Section)[{WS}]+\p{{Nd}}+") | t.rlike(r"^\p{Nd}+[.)]") | t.rlike(rf"^[a-zA-Z]\)[{WS}]+") | (F.length(t) < min_len)
 
 
-def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len: int = 512) -> DataFrame:
-    """(by, pos, text, merged, members): fragments put together, at most three, as long as the first isn't final and the next
+def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len: int = 512, max_merge: int = 3) -> DataFrame:
+    """(by, pos, text, merged, members): fragments put together, at most max_merge, which is three or less, as long as the first isn't final and the next
     is open; members: their positions.
 
     rows: (by, pos, text, is_flat), pos unique within by. How far each fragment would reach depends on the next two alone;
@@ -54,7 +54,7 @@ def stitch(rows: DataFrame, by: str = "document_id", min_len: int = 8, max_len:
             x = x.withColumn(f"{c}{d}", F.lead(c, d).over(order))
     two = ~F.col("flat") & F.col("t1").isNotNull() & ~F.col("final") & ~F.col("apart1") & (F.col("n") + F.col("n1") <= max_len)
     three = two & F.col("t2").isNotNull() & ~F.col("final1") & ~F.col("apart2") & (F.col("n") + 1 + F.col("n1") + F.col("n2") <= max_len)
-    x = x.withColumn("reach", F.when(three, 3).when(two, 2).otherwise(1))
+    x = x.withColumn("reach", F.least(F.when(three, 3).when(two, 2).otherwise(1), F.lit(max(1, max_merge))))
     # starts: cut the sequence behind every fragment that certainly ends a walk, then walk within the short pieces
     certain = (F.col("reach") == 1) & (F.coalesce(F.lag("reach", 1).over(order), F.lit(1)) == 1) & (F.coalesce(F.lag("reach", 2).over(order), F.lit(1)) < 3)
     x = x.withColumn("row", F.row_number().over(order)).withColumn("piece", F.sum(certain.cast("int")).over(order))

@@ -110,7 +110,7 @@ def run_pipeline(chunks: DataFrame, settings: Settings | None = None, header_dec
     else:
         groups = groups.withColumn("is_flat", F.lit(False)).withColumn("ord", F.lit(1))
     placed = cut(groups.withColumn("pos", F.col("pos") * 2 + F.col("ord")).drop("ord"), "placed")
-    stitched = structure.stitch(placed, min_len=s.min_len, max_len=s.max_len).select(F.col("document_id").alias("_d"), F.col("pos").alias("_p"), F.col("text").alias("_text"), "merged", F.col("members").alias("stitched_from"))
+    stitched = structure.stitch(placed, min_len=s.min_len, max_len=s.max_len, max_merge=s.max_merge).select(F.col("document_id").alias("_d"), F.col("pos").alias("_p"), F.col("text").alias("_text"), "merged", F.col("members").alias("stitched_from"))
     joined = placed.join(stitched, placed["document_id"].eqNullSafe(stitched["_d"]) & (placed["pos"] == stitched["_p"])).drop("_d", "_p")
     whole = joined.withColumn("text", F.when(F.col("merged") > 1, F.col("_text")).otherwise(F.col("text"))).withColumn("id", F.concat("id", F.when(F.col("is_flat"), "-flat").otherwise(""), F.when(F.col("merged") > 1, "-stitched").otherwise(""))).drop("_text")
     whole = whole.withColumn("is_canonical", F.lit(True))

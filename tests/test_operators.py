@@ -233,3 +233,41 @@ def test_pipeline_with_embedder(spark):
 
     out = run_pipeline(spark.createDataFrame(rows, "id string, document_id string, page int, offset int, text string"), embed=embed).collect()
     assert sorted(r["clean_text"] for r in out) == ["Câu khác hẳn nội dung.", "Một câu dài đủ chữ."]
+
+
+def test_split_rows_repairs_what_a_splitter_proposes(spark):
+    from quernstone.operators.sentences import split_rows
+
+    rows = spark.createDataFrame([("a", "Một hai. Ba bốn. Năm"), ("b", "Không ai. Đề xuất"), ("c", None)], "id string, text string")
+    spans = spark.createDataFrame([("a", 0, 2, 8), ("a", 1, 8, 9), ("a", 2, 6, 40), ("a", 3, 5, 4)], "id string, i int, start int, end int")
+    got = sorted((r["sentence_id"], r["text"]) for r in split_rows(rows, lambda asked: spans, keep=()).collect())
+    assert got == [("a#s0", "Mộ"), ("a#s1", "t hai."), ("a#s3", "Ba bốn. Năm"), ("b#s0", "Không ai."), ("b#s1", "Đề xuất")]
+
+
+def test_clean_texts_by_a_model(spark):
+    from quernstone.operators.cleaning import REPLY, clean_texts
+
+    rows = spark.createDataFrame([("1", "xin  chào", ["from_variant"]), ("2", "lạ", None), ("3", None, [])], "id string, text string, ops array<string>")
+
+    def clean(asked):
+        answer = F.to_json(F.struct(F.upper("text").alias("clean_text"), F.array(F.lit("normalize_space")).alias("ops"), F.struct(F.lit(True).alias("continues")).alias("flags")))
+        reply = F.struct(F.lit(True).alias("answered"), F.lit(None).cast("string").alias("block_reason"), F.lit(1).alias("candidates"), F.lit("STOP").alias("finish_reason"), answer.alias("text"), F.lit(None).cast("array<string>").alias("parts"))
+        return asked.where("text <> 'lạ'").select("key", reply.cast(REPLY).alias("reply"))
+
+    got = {r["id"]: (r["text"], list(r["ops"]), r["clean_flags"], r["text_clean_quality"]) for r in clean_texts(rows, clean).collect()}
+    assert got["1"] == ("XIN  CHÀO", ["from_variant", "normalize_space"], {"continues": True}, 0.9)
+    assert got["2"] == ("lạ", ["fallback_passthrough"], {"error": True, "llm_mismatch": True}, 0.0)
+    assert got["3"][0] == "" and got["3"][3] == 0.6
+
+
+def test_timestamp_and_provenance_of_a_run(spark):
+    import json
+    import re
+
+    from quernstone.plans.pipeline import run_pipeline
+
+    chunks = spark.createDataFrame([("c1", "d", 1, 0, "Một câu dài hơn ba mươi ký tự ở đây. Câu sau cũng dài như vậy, không kém gì.")], "id string, document_id string, page int, offset int, text string")
+    row = run_pipeline(chunks).orderBy("chunk_id").first()
+    assert re.fullmatch(r"20\d\d-\d\d-\d\dT\d\d:\d\d:\d\dZ", row["timestamp"]) and run_pipeline(chunks, timestamp="2000-01-01T00:00:00Z").first()["timestamp"] == "2000-01-01T00:00:00Z"
+    told = json.loads(row["source_linkage"]["metadata"])
+    assert told["split_from_chunk"] == "c1" and told["sentence_index"] == 0 and told["complete"] == 1 and told["content_group_id"] == "cg-0"

@@ -114,3 +114,23 @@ def test_stream(spark, tmp_path):
     q = sentence_stream(spark.readStream.schema(schema).parquet(src)).writeStream.format("memory").queryName("heard").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert sorted(r["text"] for r in spark.table("heard").collect()) == ["Câu mới hoàn toàn.", "Một câu dài."]
+
+
+def test_batched_decider_retries_and_pads(spark):
+    from quernstone.functions.config import Settings
+    from quernstone.operators.serving import batched, limiter_of, policy_of, rpm_of
+
+    settings = Settings(rpm=6_000_000, base_backoff_sec=0.0, jitter_sec=0.0, max_retries=1)
+
+    def ask(model, rows):
+        if any(r["text"] == "fail" for r in rows):
+            raise RuntimeError("no")
+        return [len(r["text"]) for r in rows][:2]  # an answer of two at most
+
+    asked = spark.createDataFrame([(f"k{i}", "x" * i) for i in range(1, 4)], "key string, text string")
+    got = {r["key"]: r["decision"] for r in batched(ask, settings, "classify", batch=3, tasks=1, sleep=lambda s: None)(asked).collect()}
+    assert set(got) == {"k1", "k2", "k3"} and sum(v is None for v in got.values()) == 1 and all(v in (None, int(k[1])) for k, v in got.items())
+    failed = spark.createDataFrame([("k", "fail")], "key string, text string")
+    assert batched(ask, settings, "classify", batch=3, tasks=1, sleep=lambda s: None)(failed).first()["decision"] is None
+    assert policy_of(settings, "header").retry_budget_sec == 120.0 and policy_of(settings, "text") is settings
+    assert rpm_of(Settings(rpm=0, rpm_merge=7), "merge") == 7 and rpm_of(Settings(rpm=3), "merge") == 3 and limiter_of(Settings(rpm=30), "text").rpm == 30
