@@ -63,8 +63,15 @@ def _tables() -> tuple[dict[int, str], dict[int, str], re.Pattern[str]]:
         singles[k] = "".join(x if (m := _mapped(ord(x))) is None else m for x in v)
     singles.update(dict.fromkeys(range(0xE0000, 0xE1000), ""))
     letters = {ord(a): b for a, b in LOOKALIKE_LETTERS.items()}
-    changing = [chr(cp) for cp in _RANGE if not 0xD800 <= cp <= 0xDFFF and (cp in singles or unicodedata.combining(chr(cp)) or any(ord(x) in letters for x in unicodedata.normalize("NFD", chr(cp))) or unicodedata.normalize("NFC", chr(cp)) != chr(cp))]
-    return singles, letters, re.compile(f"[{re.escape(''.join(changing))}\U000e0000-\U000e0fff]")
+    changing = [cp for cp in _RANGE if not 0xD800 <= cp <= 0xDFFF and (cp in singles or unicodedata.combining(chr(cp)) or any(ord(x) in letters for x in unicodedata.normalize("NFD", chr(cp))) or unicodedata.normalize("NFC", chr(cp)) != chr(cp))]
+    # as ranges: what lies beyond the basic plane is tried item by item on every character of a text
+    ranges: list[list[int]] = []
+    for cp in (*changing, *range(0xE0000, 0xE1000)):
+        if ranges and cp == ranges[-1][1] + 1:
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    return singles, letters, re.compile(f"[{''.join(f'{re.escape(chr(a))}-{re.escape(chr(z))}' for a, z in ranges)}]")
 
 
 def skeleton(text: str) -> str:

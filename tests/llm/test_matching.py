@@ -17,6 +17,20 @@ def test_skeleton():
         assert lookalike.skeleton(other) != lookalike.skeleton(base), other
 
 
+def test_what_may_change_is_searched_by_ranges():
+    import time
+
+    changing, text = lookalike._tables()[2], "Điều khoản về đất ở đô thị " * 10_000
+    plain = re.compile("[\u3000-\u9fff]")
+
+    def seconds(pattern):
+        return min((t := time.process_time(), pattern.search(text), time.process_time() - t)[2] for _ in range(3))
+
+    assert not changing.search(text) and seconds(changing) < 25 * seconds(plain)
+    for c in ("\U0001d400", "\U0001d7ff", "\U000e0000", "\U000e0fff", "\u200b", "\u0430", "\u0301", "\uff21"):
+        assert changing.search(text + c) and not changing.search(text + "\U0001d455\U0001f600\U000e1000")
+
+
 def test_lookalike_pairs(spark):
     rows = [("a", "Cổng Tây", 1), ("b", "Cổng Tаy", 1), ("c", "Cổng Tây", 1), ("d", "Cổng Tây", 1), ("e", "Cổng  Tây", 1), ("f", None, None), ("g", " ", 1), ("h", " ", 1), ("i", "", 1), ("b2", "Cổng Tаy", 1), ("n", "Cổng Tâ​y" + "!" * 100_000, 1)]
     df = spark.createDataFrame(rows, "id string, text string, form int")
