@@ -39,7 +39,8 @@ OPEN_WEIGHT, OPEN_CUT_WEIGHT, MARKED_CUT_WEIGHT, STRIPPED_WEIGHT = 1.0, 0.04, 0.
 #: standard deviations of a count more than that, and at least this share of the number of longer open values. Neighbours
 #: are lengths at most LIMIT_AROUND away.
 LIMIT_VALUES, LIMIT_RATIO, LIMIT_DEVIATIONS, LIMIT_LONGER, LIMIT_AROUND = 5, 4.0, 6.0, 0.5, 12
-#: Lines at a chunk's start that may be running lines, and pages of a document on which one stands at least.
+#: Lines at a chunk's start that may be running lines, as long as not all are: then twice as many may be, and so on. Pages of a
+#: document on which one stands at least.
 HEAD_LINES, RUNNING_PAGES = 4, 3
 #: Ends of values and lines alike that may be the value's own: itself, as a chunk's sentence, and in copies of another format.
 OWN_ENDS = 3
@@ -64,6 +65,7 @@ _LONE_DASH = re.compile(r"\s+[-–—•*·|]$")
 _WORD = re.compile(r"[^\W_]+(?:[̀-ͯऀ-ॣั-ฺ็-๎]+[^\W_]*)*")
 _ODD_SPACE = re.compile(r"[\x0b\f\x1c-\x1f\x85\u2028\u2029]")
 _SPACES = re.compile(r"[^\S\n\t]+")
+_DIGITS = re.compile(r"\d+")
 
 
 def settled(text: str) -> str:
@@ -406,8 +408,8 @@ def content_keys(texts: list[str]) -> np.ndarray:
 def _heads(rows: list[tuple]) -> pa.RecordBatch:
     keys, words = [], []
     for _, t, *_ in rows:
-        lines = [x for x in (x.strip() for x in t[:4000].split("\n", 3 * HEAD_LINES)) if x][:HEAD_LINES]
-        keys.append([xxhash.xxh3_64_intdigest(re.sub(r"\d+", "0", x).encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines])
+        lines = [x for x in (x.strip() for x in t.split("\n")) if x]
+        keys.append([xxhash.xxh3_64_intdigest(_DIGITS.sub("0", x).encode("utf-8", "surrogatepass")) - (1 << 63) for x in lines])
         words.append([_opening(x) for x in lines])
     return _batch(len(rows), what=np.full(len(rows), HEAD, np.int8), tbl=["chunks"] * len(rows), rec_id=[r[0] for r in rows], document_id=[r[2] for r in rows], page=[r[3] for r in rows], off=[r[4] for r in rows], head_keys=keys, head_words=words)
 
@@ -431,17 +433,33 @@ def field_limits(ends: DataFrame) -> DataFrame:
     return spikes.select("tbl", "source", "unit", "size")
 
 
+def starts(heads: DataFrame) -> DataFrame:
+    """(rec_id, start) of each chunk with a line past its running lines: the first word of that line; heads: as for following."""
+    rows, depth, settled_before = heads, F.lit(HEAD_LINES), None
+    while True:
+        looked_at = F.slice(F.arrays_zip(F.col("head_keys").alias("key"), F.col("head_words").alias("word")), F.lit(1), depth)
+        lines = rows.select("rec_id", "document_id", "page", F.size("head_keys").alias("size"), F.posexplode(looked_at).alias("at", "line")).select("rec_id", "document_id", "page", "size", "at", "line.key", "line.word")
+        running = lines.select("document_id", "key", "page").distinct().groupBy("document_id", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= RUNNING_PAGES).select("document_id", "key", F.lit(True).alias("running"))
+        reached = lines.join(running, ["document_id", "key"], "left").groupBy("document_id", "rec_id").agg(F.min(F.when(F.col("running").isNull(), F.struct("at", "word"))).alias("start"), (F.max("at") + 1).alias("depth"), F.max("size").alias("size"))
+        reached = cut(reached, "starts")
+        all_running = F.col("start").isNull() & (F.col("depth") < F.col("size"))
+        # a line counts within its document: only those with such a chunk are looked at again
+        again = reached.where(all_running).select("document_id").distinct()
+        ended = reached.join(again, "document_id", "left_anti").where("start is not null").select("rec_id", F.col("start.word").alias("start"))
+        settled_before = ended if settled_before is None else settled_before.unionByName(ended)
+        if not again.limit(1).count():
+            return settled_before
+        deeper = reached.join(again, "document_id", "left_semi").select("document_id", "rec_id", F.when(all_running, 2 * F.col("depth")).otherwise(F.col("depth")).alias("depth"))
+        rows, depth = heads.join(deeper, ["document_id", "rec_id"]), F.greatest("depth", F.lit(HEAD_LINES))
+
+
 def following(heads: DataFrame) -> DataFrame:
     """(rec_id, next_word) of each chunk that another one follows: the first word past running lines, empty if there is none.
 
     heads: (rec_id, document_id, page, off, head_keys, head_words). The order is page, offset, id; the next chunk is found within
     the page, and only the last of a page looks at the next page's first.
     """
-    rows = heads
-    lines = rows.select("rec_id", "document_id", "page", F.posexplode(F.arrays_zip(F.col("head_keys").alias("key"), F.col("head_words").alias("word"))).alias("at", "line")).select("rec_id", "document_id", "page", "at", "line.key", "line.word")
-    running = lines.select("document_id", "key", "page").distinct().groupBy("document_id", "key").agg(F.count("*").alias("pages")).where(F.col("pages") >= RUNNING_PAGES).select("document_id", "key", F.lit(True).alias("running"))
-    starts = lines.join(running, ["document_id", "key"], "left").where("running is null").groupBy("rec_id").agg(F.min(F.struct("at", "word")).alias("start")).select("rec_id", F.col("start.word").alias("start"))
-    placed = rows.select("rec_id", "document_id", "page", "off").join(starts, "rec_id", "left").withColumn("start", F.coalesce("start", F.lit("")))
+    placed = heads.select("rec_id", "document_id", "page", "off").join(starts(heads), "rec_id", "left").withColumn("start", F.coalesce("start", F.lit("")))
     within = Window.partitionBy("document_id", "page").orderBy(F.asc_nulls_last("off"), F.asc("rec_id"))
     placed = placed.withColumn("next_word", F.lead("start").over(within)).withColumn("is_first", F.row_number().over(within) == 1)
     pages = placed.where("is_first").select(F.col("document_id").alias("d"), F.col("page").alias("p"), F.lead("start").over(Window.partitionBy("document_id").orderBy(F.asc_nulls_last("page"))).alias("page_after"))

@@ -154,6 +154,16 @@ def test_truncation(spark):
     assert truncation.cut_values(values.limit(0), sources).count() == 0
 
 
+def test_a_page_goes_on_past_any_number_of_running_lines(spark):
+    heads = ["Cơ quan phát hành " + "văn bản " * 600, *(f"Dòng đầu trang {x}" for x in "abcdefghij")]
+    words = "rừng biển núi sông".split()
+    rows = [(f"p{k}", "\n".join([*heads[: 11 if k < 3 else 3], f"{w} này nói về {w}"]), "d", k, 0) for k, w in enumerate(words)]
+    rows += [("z", "Dòng khác", "d", 4, 0), *((f"e{k}", "\n".join(["như nhau"] * 9), "e", k, 0) for k in range(3))]
+    df = spark.createDataFrame(truncation._heads(rows).to_pylist(), truncation._OBSERVED)
+    got = {r["rec_id"]: r["next_word"] for r in truncation.following(df).collect()}
+    assert got == {"p0": "biển", "p1": "núi", "p2": "sông", "p3": "Dòng", "e0": "", "e1": ""}
+
+
 def test_settled_ends():
     assert truncation.settled("  a\u200bb\u00a0 c -\r\n - ") == "ab c" and truncation.settled("x — y") == "x — y"
     assert truncation.is_open("Hết") and not truncation.is_open("Hết.”") and truncation.is_open("Hết...") and truncation.is_open("Hết (còn nữa)")
