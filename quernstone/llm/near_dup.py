@@ -1,12 +1,11 @@
 """Problem 6: sentences that share most of their words.
 
-Texts are reduced to their set of words; equal sets are compared once. Bands of minima propose pairs of sets. Every band row
-carries the low bit of each minimum and the size of its set, packed into two words, so that a bucket's pairs are estimated where they
-meet: the share of minima that agree, corrected for the half of them that agree by chance. What is far below the threshold, or
-of too different a size, goes there and then, before anything is emitted; the rest is decided exactly on the sets.
+Texts are reduced to their set of words; equal sets are compared once. The words of a set are ordered, frequent ones last. Two
+sets of the threshold's similarity share one of their first words, so many that fewer than the threshold's share are left, and so
+sets meet under each of those. Where they meet, their sizes and the parities of their words in 128 places are compared: as many
+parities differ at most as words do. No similar pair fails that; what passes is decided exactly on the sets.
 
-A bucket of more than BUCKET sets is not compared within itself: its sets are proposed by pairs of bands instead, this one
-with each of the others, of which a similar pair agrees in several.
+Sets that meet under a word of more than BUCKET are compared by blocks of at most BLOCK, all with all.
 
 Defined results: texts without words (null, empty, blank, only marks) pair with nothing; texts equal but for white space, or
 that only look different to a machine, are no pairs; pairs are listed singly.
@@ -27,13 +26,13 @@ from quernstone.llm.lookalike import skeleton
 from quernstone.runtime import cut
 
 THRESHOLD = 0.7
-#: 30 bands of 4 rows propose a pair of similarity 0.7 with probability 0.9997, of 0.75 with 0.99999.
+#: Minima of the estimate, and how far below the threshold it may lie: 3.6 standard errors. Pairs don't hang on it.
 BANDS, ROWS = 30, 4
-#: How far below the threshold an estimate from the low bits of BANDS * ROWS minima may lie: 3.6 standard errors.
 MARGIN = 0.235
-#: Sets in a bucket that are compared with each other; a larger one is split by a second band. The large ones are found in a
-#: sample of one set in SAMPLED: one that it misses is compared as it is, so no pair hangs on it.
-BUCKET, SAMPLED = 2_000, 64
+#: Sets under one word that are compared by a join; more are compared by blocks of at most BLOCK.
+BUCKET, BLOCK = 2_000, 100_000
+#: The most frequent words that are ordered by frequency; others come before them. The order decides the work, not the pairs.
+RANKED = 65_536
 _WORD = re.compile(r"[^\W_]+")
 _K = BANDS * ROWS
 _rng = np.random.default_rng(20240229)
@@ -58,15 +57,6 @@ def minima(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(low: np.ndarray) -> np.ndarray:
-    """(sets, BANDS) keys of the bands of minima; a band's number is part of its keys."""
-    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(low), 1))
-    for r in range(ROWS):
-        keys = (keys ^ low[:, r::ROWS].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-        keys ^= keys >> np.uint64(31)
-    return keys.view(np.int64)
-
-
 def packed_bits(low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """(sets, 2) the low bit of each of the K minima, and in the last byte the size of the set, 255 at most."""
     bits = np.packbits(((low >> np.uint32(9)) & np.uint32(1)).astype(np.uint8), axis=1)
@@ -112,43 +102,83 @@ def word_sets(df: DataFrame, id_col: str = "id", text_col: str = "text") -> Data
     return df.select(F.col(id_col).cast("string"), F.col(text_col)).where(F.col(text_col).isNotNull()).mapInArrow(run, _SCHEMA)
 
 
-def signatures(sets: DataFrame) -> DataFrame:
-    """(set_id, bands, low, high) of distinct (set_id, words)."""
+def most_different(sizes, threshold: float):
+    """How many words two sets of at least the threshold's similarity differ in at most; sizes: the sum of theirs."""
+    return (sizes * (1 - threshold) / (1 + threshold) + 1e-6) // 1
+
+
+def signatures(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(set_id, size, low, high, keys) of distinct (set_id, words): parities of the words in 128 places, and the first words."""
+    counts = sets.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(RANKED).toArrow()  # of a fixed size
+    by_word = np.argsort(counts.column("word").to_numpy())
+    shared = sets.sparkSession.sparkContext.broadcast((counts.column("word").to_numpy()[by_word], counts.column("n").to_numpy()[by_word]))
 
     def run(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                b = batch.slice(a, 1000)
-                words = b.column(1)
-                offsets = words.offsets.to_numpy()
-                least = minima(words.flatten().to_numpy().view(np.uint64), offsets[:-1] - offsets[0])
-                bands, bits = band_keys(least), packed_bits(least, np.diff(offsets))
-                keys = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel()))
-                yield pa.RecordBatch.from_arrays([b.column(0), keys, pa.array(np.ascontiguousarray(bits[:, 0])), pa.array(np.ascontiguousarray(bits[:, 1]))], names=["set_id", "bands", "low", "high"])
-
-    return sets.select("set_id", "words").mapInArrow(run, "set_id bigint, bands array<bigint>, low bigint, high bigint")
-
-
-def proposed(signed: DataFrame, threshold: float, bucket: int = BUCKET) -> DataFrame:
-    """(a, b), a < b, each once: sets that share a bucket and whose estimate isn't far below the threshold."""
-    rows = signed.select("set_id", "low", "high", F.explode("bands").alias("key"))
-    some = signed.where(F.pmod(F.xxhash64("set_id"), F.lit(SAMPLED)) == 0).select(F.explode("bands").alias("key"))
-    full = cut(some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * SAMPLED > bucket).select("key"), "full")
-    if full.limit(1).count():
-        held = rows.select("set_id", "key").join(full, "key", "left_semi").withColumnRenamed("key", "first")
-        pairs_of_bands = signed.join(held, "set_id").select("set_id", "low", "high", F.explode(F.transform(F.filter("bands", lambda k: k != F.col("first")), lambda k: F.xxhash64(F.least(k, F.col("first")), F.greatest(k, F.col("first"))))).alias("key"))
-        rows = rows.join(full, "key", "left_anti").select("set_id", "low", "high", "key").unionByName(pairs_of_bands)
-    x, y = rows.alias("x"), rows.alias("y")
-    bits = lambda s: F.col(f"{s}.high").bitwiseAND(F.lit(2**56 - 1))
-    size = lambda s: F.shiftrightunsigned(F.col(f"{s}.high"), 56)
-    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(bits("x").bitwiseXOR(bits("y")))
-    near = (differ <= int(_K / 2 * (1 - threshold + MARGIN))) & (F.least(size("x"), size("y")) >= F.floor(threshold * F.greatest(size("x"), size("y"))))
-    return x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.set_id") < F.col("y.set_id")) & near).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")).distinct()
+        known, often = shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            words = b.column(1)
+            offsets = words.offsets.to_numpy()
+            flat, starts, sizes = words.flatten().to_numpy(), offsets[:-1] - offsets[0], np.diff(offsets)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            at = np.minimum(np.searchsorted(known, flat), len(known) - 1)
+            order = np.lexsort((flat, np.where(known[at] == flat, often[at], 0), of))
+            first = sizes - np.ceil(threshold * sizes - 1e-6).astype(np.int64) + 1
+            kept = np.arange(len(flat)) - starts[of] < np.minimum(first, sizes)[of]
+            place = flat.view(np.uint64) >> np.uint64(57)
+            bit = np.uint64(1) << (place & np.uint64(63))
+            low, high = (np.bitwise_xor.reduceat(np.where((place >> np.uint64(6)) == half, bit, np.uint64(0)), starts).view(np.int64) for half in (0, 1))
+            keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.minimum(first, sizes))]).astype(np.int32)), pa.array(flat[order][kept]))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes.astype(np.int32)), pa.array(low), pa.array(high), keys], names=["set_id", "size", "low", "high", "keys"])
+
+    return sets.where(F.size("words") > 0).select("set_id", "words").mapInArrow(run, "set_id bigint, size int, low bigint, high bigint, keys array<bigint>")
+
+
+def near_in_block(table: pa.Table, threshold: float) -> pa.Table:
+    """(a, b), a < b, of the sets of one key that differ in few enough parities; of two blocks (own, x, y), those between them."""
+    size = table.column("size").to_numpy().astype(np.int64)
+    order = np.argsort(size, kind="stable")
+    size, ids = size[order], table.column("set_id").to_numpy()[order]
+    low, high = (table.column(c).to_numpy()[order].view(np.uint64) for c in ("low", "high"))
+    own = table.column("own").to_numpy()[order]
+    between = bool(len(own)) and table.column("x")[0].as_py() != table.column("y")[0].as_py()
+    most, found = most_different(np.arange(2 * int(size[-1]) + 1 if len(size) else 1), threshold).astype(np.int64), []
+    for start in range(0, len(ids), 64):
+        end = min(start + 64, len(ids))
+        # sets from here on, up to the largest that the largest of these may be similar to
+        stop = int(np.searchsorted(size, size[end - 1] / threshold + 1e-6, "right"))
+        i, j = np.nonzero(np.bitwise_count(low[start:end, None] ^ low[None, start:stop]) <= most[size[end - 1] + size[start:stop]][None])
+        i, j = i + start, j + start
+        near = (i < j) & (np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j]) <= most[size[i] + size[j]])
+        if between:
+            near &= own[i] != own[j]
+        found.append(np.stack([ids[i[near]], ids[j[near]]]))
+    pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    return pa.table({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
+
+
+def proposed(signed: DataFrame, threshold: float, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b, each once: all sets of at least the threshold's similarity, and some of less."""
+    rows = signed.select("set_id", "size", "low", "high", F.explode("keys").alias("key"))
+    full = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "full")
+    few = rows.join(full, "key", "left_anti")
+    x, y = few.alias("x"), few.alias("y")
+    differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
+    both = F.col("x.size") + F.col("y.size")
+    near = (differ <= F.floor(both * ((1 - threshold) / (1 + threshold)) + 1e-6)) & (F.least("x.size", "y.size") + 1e-6 >= threshold * F.greatest("x.size", "y.size"))
+    joined = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.set_id") < F.col("y.set_id")) & near).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+    # every two blocks of a key's sets meet, and each block itself
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    held = rows.join(full, "key").withColumn("own", F.pmod(F.xxhash64("set_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    held = held.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "set_id", "size", "low", "high")
+    met = held.groupBy("key", "x", "y").applyInArrow(lambda table: near_in_block(table, threshold), "a bigint, b bigint")
+    return joined.unionByName(met).distinct()
 
 
 def similar_sets(sets: DataFrame, threshold: float = THRESHOLD, bucket: int = BUCKET) -> DataFrame:
     """(a, b, similarity), a < b, of distinct sets (set_id, words) with at least the threshold."""
-    likely = proposed(cut(signatures(sets), "signatures"), threshold, bucket)
+    likely = proposed(cut(signatures(sets, threshold), "signatures"), threshold, bucket)
     words = sets.select("set_id", "words")
     both = likely.join(words.select(F.col("set_id").alias("a"), F.col("words").alias("wa")), "a").join(words.select(F.col("set_id").alias("b"), F.col("words").alias("wb")), "b")
     common = both.withColumn("common", F.size(F.array_intersect("wa", "wb"))).withColumn("all", F.size("wa") + F.size("wb") - F.col("common"))

@@ -114,6 +114,25 @@ def test_near_duplicates(spark):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_every_similar_pair_is_proposed(spark):
+    """All pairs at the threshold and above, whatever the buckets; among them many of exactly the threshold."""
+    rng = random.Random(5)
+    sets = {}
+    for _ in range(300):
+        base = rng.sample(range(2000), 17)
+        for _ in range(4):
+            sets[len(sets)] = sorted({*rng.sample(base, 14), *rng.sample(range(2000, 2100), 3)})
+    sets.update({len(sets) + k: list(range(5000, 5000 + k)) for k in range(1, 40)})
+    want = {(a, b) for a, b in itertools.combinations(sets, 2) if len(x := set(sets[a]) & set(sets[b])) >= 0.7 * (len(sets[a]) + len(sets[b]) - len(x)) - 1e-9}
+    mixed = lambda w: (w * 0x9E3779B97F4A7C15 + 0x1234567) % 2**64 - 2**63
+    df = spark.createDataFrame([(i, sorted(map(mixed, w))) for i, w in sets.items()], "set_id bigint, words array<bigint>")
+    for bucket in (0, 20, 2_000):
+        assert {(r["a"], r["b"]) for r in near_dup.similar_sets(df, bucket=bucket).collect()} == want
+    signed = near_dup.signatures(df).localCheckpoint()
+    blocks = {(r["a"], r["b"]) for r in near_dup.proposed(signed, 0.7, bucket=5, block=7).collect()}
+    assert want <= blocks == {(r["a"], r["b"]) for r in near_dup.proposed(signed, 0.7, bucket=5).collect()} and len(want) > 200
+
+
 def test_estimate_is_near_the_similarity():
     import numpy as np
 
