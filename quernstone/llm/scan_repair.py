@@ -4,7 +4,7 @@ A hidden Markov model over the lines of a chunk has the states head (running lin
 body line whose last word goes on in the next) and foot. What is observed of a line is whether it is a page number or recurs
 at the same edge of the document's pages, how far word counts speak for its last word going on in the next line, and its layout:
 its length against the chunk's other lines, capitals, indent, an empty line before it. Transitions and emissions are
-re-estimated by expectation maximisation on a sample; the best state sequence labels the lines, head being open to the first
+re-estimated by expectation maximisation on all chunks; the best state sequence labels the lines, head being open to the first
 chunk of a page and foot to the last. Misread words are those for which the corpus has a far more frequent word that
 recognition would confuse with them, found by a form that all confused characters share, and exact counts.
 
@@ -32,8 +32,8 @@ from quernstone.runtime import cut
 #: Lines from the top and the bottom of a page among which a running line may change its place; further in it keeps it. Pages
 #: on which one stands at least.
 TOP, BOTTOM, MIN_PAGES = 2, 3, 3
-#: About how many chunks the model is re-estimated on.
-SAMPLE_CHUNKS = 4_000
+#: Rounds of re-estimation, and lines whose states are summed over at once.
+ROUNDS, BLOCK_LINES = 3, 100_000
 #: A corrected word must occur so often, and so many times more often than the word as it stands.
 WORD_LEAST, WORD_RATIO = 4, 8
 #: Different words that a task holds before it passes their counts on.
@@ -268,34 +268,75 @@ class LineModel:
         out[closed] *= 1e-12
         return out.T
 
-    def fitted(self, sequences: list[tuple[np.ndarray, bool, bool]], rounds: int = 3, weight: float = 20.0) -> LineModel:
-        """Re-estimated on the sequences, with this model as a prior of `weight` times as many lines, and PRIOR_LINES more."""
-        model = self
+    def expected(self, sequences: list[tuple[np.ndarray, bool, bool]]) -> np.ndarray:
+        """Of sequences, one after the other: their lines, then how often each state starts, follows each and emits each symbol."""
+        lines, start, move, emit = 0, np.zeros(4), np.zeros((4, 4)), [np.zeros(e.shape) for e in self.emit]
+        order, at = sorted(range(len(sequences)), key=lambda i: -len(sequences[i][0])), 0
+        while at < len(order):
+            longest = len(sequences[order[at]][0])
+            block = [sequences[i] for i in order[at : at + max(1, BLOCK_LINES // max(1, longest))]]
+            at += len(block)
+            sizes = np.array([len(x) for x, _, _ in block])
+            held = np.arange(longest) < sizes[:, None]
+            like = np.ones((len(block), longest, 4))
+            like[held] = np.concatenate([self.seen(x, first, last) for x, first, last in block])
+            # the longest come first: at each place, those that reach it
+            reach = held.sum(axis=0)
+            a, b = np.zeros(like.shape), np.ones(like.shape)
+            a[:, 0] = self.start * like[:, 0]
+            a[:, 0] /= a[:, 0].sum(axis=1, keepdims=True)
+            for i in range(1, longest):
+                k = reach[i]
+                a[:k, i] = (a[:k, i - 1] @ self.move) * like[:k, i]
+                a[:k, i] /= a[:k, i].sum(axis=1, keepdims=True)
+            for i in range(longest - 2, -1, -1):
+                k = reach[i + 1]
+                ahead = like[:k, i + 1] * b[:k, i + 1]
+                b[:k, i] = ahead @ self.move.T
+                b[:k, i] /= b[:k, i].sum(axis=1, keepdims=True)
+                x = a[:k, i, :, None] * self.move * ahead[:, None, :]
+                move += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            g = a * b
+            g /= np.where(held, g.sum(axis=2), 1)[:, :, None]
+            start += g[:, 0].sum(axis=0)
+            of = g[held]
+            for e, column in zip(emit, np.concatenate([x for x, _, _ in block]).T):
+                for state in range(4):
+                    e[state] += np.bincount(column, of[:, state], e.shape[1])
+            lines += int(sizes.sum())
+        return np.concatenate([[lines], start, move.ravel(), *(e.ravel() for e in emit)])
+
+    def updated(self, sums: np.ndarray, prior: LineModel, weight: float = 20.0) -> LineModel:
+        """The model of summed expectations, with a prior of `weight` times as many lines, and PRIOR_LINES more."""
         # each state's prior counts for as many lines as the state is expected to label
-        strength = (PRIOR_LINES + weight * sum(len(s) for s, _, _ in sequences)) * SHARES[:, None]
+        strength = (PRIOR_LINES + weight * sums[0]) * SHARES[:, None]
+        parts = np.split(sums[1:], np.cumsum([4, 16, *(e.size for e in self.emit)])[:-1])
+        start, move = prior.start * strength.sum() + parts[0], prior.move * strength + parts[1].reshape(4, 4)
+        emit = [e * strength + x.reshape(e.shape) for e, x in zip(prior.emit, parts[2:])]
+        return LineModel(start / start.sum(), move / move.sum(axis=1, keepdims=True), tuple(e / e.sum(axis=1, keepdims=True) for e in emit))
+
+    def fitted(self, sequences: list[tuple[np.ndarray, bool, bool]], rounds: int = ROUNDS, weight: float = 20.0) -> LineModel:
+        """Re-estimated on the sequences, with this model as the prior."""
+        model = self
         for _ in range(rounds):
-            start, move, emit = self.start * strength.sum(), self.move * strength, [e * strength for e in self.emit]
-            for symbols, first, last in sequences:
-                like = model.seen(symbols, first, last)
-                n = len(like)
-                a, b = np.zeros((n, 4)), np.ones((n, 4))
-                a[0] = model.start * like[0]
-                a[0] /= a[0].sum()
-                for i in range(1, n):
-                    a[i] = (a[i - 1] @ model.move) * like[i]
-                    a[i] /= a[i].sum()
-                for i in range(n - 2, -1, -1):
-                    ahead = like[i + 1] * b[i + 1]
-                    b[i] = model.move @ ahead
-                    b[i] /= b[i].sum()
-                    x = a[i][:, None] * model.move * ahead[None]
-                    move += x / x.sum()
-                g = a * b
-                g /= g.sum(axis=1, keepdims=True)
-                start += g[0]
-                for e, column in zip(emit, symbols.T):
-                    np.add.at(e.T, column, g)
-            model = LineModel(start / start.sum(), move / move.sum(axis=1, keepdims=True), tuple(e / e.sum(axis=1, keepdims=True) for e in emit))
+            model = model.updated(model.expected(sequences), self, weight)
+        return model
+
+    def fitted_on(self, coded: DataFrame) -> LineModel:
+        """As fitted, on all sequences of a table (codes, is_first, is_last); a task returns its sums alone."""
+        model = self
+        for _ in range(ROUNDS):
+
+            def run(batches, model=model):
+                for b in batches:
+                    if b.num_rows:
+                        yield pa.RecordBatch.from_arrays([pa.array([model.expected(_sequences(b)).tolist()], pa.list_(pa.float64()))], names=["sums"])
+
+            each = F.posexplode("sums").alias("at", "x")
+            sums = coded.select("codes", "is_first", "is_last").mapInArrow(run, "sums array<double>").select(each).groupBy("at").agg(F.sum("x").alias("x")).orderBy("at").toArrow().column(1).to_numpy()  # a number a parameter
+            if len(sums):
+                # to so many places the sums don't depend on their order
+                model = model.updated(np.round(sums, 6), self)
         return model
 
     def labels(self, symbols: np.ndarray, first: bool = True, last: bool = True) -> list[int]:
@@ -353,25 +394,21 @@ def scan_tables(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     numbered = F.exists("flags", lambda f: f == 2)
     sequences = lines.select("chunk_id", "line_nos", "layout", "flags").join(by_chunk, "chunk_id", "left").join(edges, "chunk_id", "left").where(F.col("again").isNotNull() | (F.col("is_first").isNotNull() & numbered))
     held = cut(sequences, "sequences")
-    share = min(1.0, SAMPLE_CHUNKS / max(1, held.count()))
-    h = F.xxhash64("chunk_id")
-    sample = held if share == 1.0 else held.where(h < int(-(2**63) + 2**64 * share))
-    rows = sample.orderBy("chunk_id").drop("chunk_id").toArrow().to_pylist()  # the bounded sample, as small numbers
-    model = LineModel.prior().fitted([(_symbols(r), bool(r["is_first"]), bool(r["is_last"])) for r in rows])
+    coded = cut(held.mapInArrow(_coded, "chunk_id string, line_nos array<int>, codes array<int>, is_first boolean, is_last boolean"), "coded")
+    model = LineModel.prior().fitted_on(coded)
 
     def run(batches):
         for b in batches:
             out: list[list] = [[], [], []]
-            for r in b.to_pylist():
-                symbols = _symbols(r)
-                for n, (edge, split, _), state in zip(r["line_nos"], symbols.tolist(), model.labels(symbols, bool(r["is_first"]), bool(r["is_last"]))):
+            for chunk, nos, (symbols, first, last) in zip(b.column("chunk_id").to_pylist(), b.column("line_nos").to_pylist(), _sequences(b)):
+                for n, (edge, split, _), state in zip(nos, symbols.tolist(), model.labels(symbols, first, last)):
                     fault = {NUMBER: "page_no", RECURRING: "running"}.get(edge) if state in (HEAD, FOOT) else "break" if state == BREAK and split else None
                     if fault:
-                        for o, v in zip(out, (r["chunk_id"], n, fault)):
+                        for o, v in zip(out, (chunk, n, fault)):
                             o.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.string())], names=["chunk_id", "line_no", "fault"])
 
-    labelled = cut(held.mapInArrow(run, "chunk_id string, line_no int, fault string"), "labelled")
+    labelled = cut(coded.mapInArrow(run, "chunk_id string, line_no int, fault string"), "labelled")
     words = doubts.where("part is null and correct is not null").select("chunk_id", "line_no")
     pieces = doubts.where("part is not null and split > 0 and correct is not null").select("chunk_id", F.explode(F.array(F.struct("line_no", F.col("part").alias("piece")), F.struct((F.col("line_no") + 1).alias("line_no"), F.col("rest").alias("piece")))).alias("x")).select("chunk_id", "x.*")
     odd = pieces.where(F.col("piece").rlike(f"[{''.join(re.escape(c) for c in CONFUSED)}]")).select("chunk_id", "line_no")
@@ -386,6 +423,22 @@ def _symbols(r: dict) -> np.ndarray:
     return np.array([(NUMBER if at_edge and f == 2 else RECURRING if n in again else PLAIN, splits_of.get(n, NO_SPLIT), layout) for n, layout, f in zip(r["line_nos"], r["layout"], r["flags"])], np.int64)
 
 
+def _coded(batches):
+    """Of batches of sequences, each line's symbols as one number."""
+    for b in batches:
+        rows = b.to_pylist()
+        codes = [(((s := _symbols(r))[:, 0] * 3 + s[:, 1]) * LAYOUTS + s[:, 2]).astype(np.int32) for r in rows]
+        yield pa.RecordBatch.from_arrays([b.column("chunk_id"), b.column("line_nos"), pa.array(codes, pa.list_(pa.int32())), *(pa.array([bool(r[c]) for r in rows], pa.bool_()) for c in ("is_first", "is_last"))], names=["chunk_id", "line_nos", "codes", "is_first", "is_last"])
+
+
+def _sequences(b: pa.RecordBatch) -> list[tuple[np.ndarray, bool, bool]]:
+    """(symbols, first, last) of each row of codes."""
+    codes = b.column("codes")
+    flat, ends = codes.flatten().to_numpy(), codes.offsets.to_numpy()
+    symbols = np.stack([flat // (3 * LAYOUTS), flat // LAYOUTS % 3, flat % LAYOUTS], axis=1)
+    return [(symbols[x - ends[0] : y - ends[0]], first, last) for x, y, first, last in zip(ends, ends[1:], b.column("is_first").to_pylist(), b.column("is_last").to_pylist())]
+
+
 def scan_faults(chunks: DataFrame) -> DataFrame:
     """(chunk_id, line_no, fault) of all faults of all chunks."""
     return scan_tables(chunks)[0]

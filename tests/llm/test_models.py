@@ -241,6 +241,29 @@ def test_line_model():
     assert all(e.sum(axis=1) == pytest.approx([1, 1, 1, 1]) for e in (fitted.move, *fitted.emit)) and fitted.labels(np.array([p, p, r, n]))[2:] == [foot] * 2
 
 
+def test_the_line_model_is_fitted_on_every_chunk(spark):
+    """More chunks than a task's batch: as by forward-backward over each sequence on its own, whichever the rows are."""
+    import numpy as np
+
+    rng, prior = np.random.default_rng(3), scan_repair.LineModel.prior()
+    rows = [(rng.integers(0, 9 * scan_repair.LAYOUTS, int(rng.integers(1, 9))).tolist(), bool(rng.integers(2)), bool(rng.integers(2))) for _ in range(12_000)]
+    df = spark.createDataFrame(rows, "codes array<int>, is_first boolean, is_last boolean").repartition(5)
+    sequences = [(np.array([(c // (3 * scan_repair.LAYOUTS), c // scan_repair.LAYOUTS % 3, c % scan_repair.LAYOUTS) for c in x]), first, last) for x, first, last in rows]
+    want, got = prior.fitted(sequences), prior.fitted_on(df)
+    assert all(np.allclose(x, y, atol=1e-9) for x, y in zip((want.start, want.move, *want.emit), (got.start, got.move, *got.emit)))
+    # expectations are those over all ways to label the lines
+    import itertools
+
+    for x, first, last in sequences[:6]:
+        x = x[:4]
+        like, weights = prior.seen(x, first, last), {}
+        for path in itertools.product(range(4), repeat=len(x)):
+            weights[path] = np.prod([prior.start[path[0]] * like[0, path[0]], *(prior.move[a, b] * like[i + 1, b] for i, (a, b) in enumerate(zip(path, path[1:])))])
+        total, sums = sum(weights.values()), prior.expected([(x, first, last)])
+        assert sums[1:5] == pytest.approx([sum(w for p, w in weights.items() if p[0] == s) / total for s in range(4)])
+        assert sums[5:21] == pytest.approx([sum(w * sum(q == (s, t) for q in zip(p, p[1:])) for p, w in weights.items()) / total for s in range(4) for t in range(4)])
+
+
 def test_corrections_against_every_word(spark):
     """By the folded form, the same words are found as by trying each word of the vocabulary."""
     rng = random.Random(4)
