@@ -15,7 +15,7 @@ from quernstone.sources.tables import table as _table
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trained on a sample of all chunks, as the other scripts stand in split_sample's alone, whose boundaries it isn't told."""
+    """Trained on all chunks, as the other scripts stand in split_sample's alone, whose boundaries it isn't told."""
     chunks = _table(spark, sf_dir, "chunks").select("id", "text")
     named = _table(spark, sf_dir, "split_sample").select(F.col("chunk_id").alias("id")).distinct()
     sample = cut(chunks.join(named, "id", "left_semi"), "sample")

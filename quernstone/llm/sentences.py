@@ -1,8 +1,8 @@
 """Problem 1: sentence boundaries in any language and script.
 
 A hidden-event n-gram language model runs over words (or their classes), gaps and boundary events; forward-backward sums over
-all ways to place events give each gap's posterior, and one half decides. There are two of them, both trained on texts
-labelled by the rules of `annotate`, a bounded sample of every script: one on the texts as they are, for paragraphs with final
+all ways to place events give each gap's posterior, and one half decides. There are two of them, both trained on all texts,
+labelled by the rules of `annotate`: one on the texts as they are, for paragraphs with final
 marks, in which an event may stand after any mark that Unicode knows to end sentences, and at a space between Thai letters; the other on
 the same texts without those marks, for paragraphs that have none, in which one may stand at every gap between words, and between
 letters of scripts that don't part words. Certain gaps are fixed by definition: an empty line always parts, the inside of a
@@ -11,6 +11,9 @@ quotation or bracket never does, nor a space beside a digit in Thai.
 Events that are more symbols apart than the model's order are independent given the symbols between them, so only the
 stretches around gaps are summed over, and equal stretches once.
 
+Words and n-grams are counted over every row, by 64-bit hashes. A block of rows is joined with the counts that its stretches
+may ask for, so no task and no driver holds the whole model; the driver gets the hashes of the known words alone.
+
 Defined results: null, empty and blank texts have no sentences; repeated rows are split each; positions count code points.
 """
 
@@ -18,22 +21,32 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Most rows the language model is trained on, its order, and how often a word must occur to be one of its own.
-TRAIN_ROWS, ORDER, WORD_LEAST = 2_000, 6, 2
+from quernstone.runtime import cut
+
+#: The order of the language model, and how often a word must occur to be one of its own.
+ORDER, WORD_LEAST = 6, 2
 #: The order of the model of texts without marks, and the n-grams' length from which those seen once are left out of both.
 BARE_ORDER, RARE_FROM = 4, 4
 #: Symbols, white space aside, that a paragraph without marks must have to be split, and the posterior that splits it.
 BARE_LEAST, BARE_POSTERIOR = 12, 0.8
-#: Stretches whose posteriors a worker keeps.
-HELD_STRETCHES = 50_000
+#: Stretches whose posteriors a worker keeps, and pieces of text, words and probabilities that it does.
+HELD_STRETCHES, HELD = 50_000, 200_000
+#: Symbols that are counted at once, and n-grams and words that a task holds before it passes their counts on.
+BLOCK_SYMBOLS, HELD_GRAMS, HELD_WORDS = 400_000, 1_500_000, 1_000_000
+#: Rows whose stretches are looked up and summed over together.
+BLOCK_ROWS = 2_000
 
 # Marks that end a sentence in some script (Unicode's property Sentence_Terminal within the basic plane, Khmer's and the ellipsis).
 FINALS = ".!?…։؝؞؟۔܀܁܂߹࠷࠹࠽࠾।॥၊။።፧፨᙮᜵᜶។៕᠃᠉᥄᥅᪨᪩᪪᪫᭚᭛᭞᭟᰻᰼᱾᱿‼‽⁇⁈⁉⸮⸼。꓿꘎꘏꛳꛷꡶꡷꣎꣏꤯꧈꧉꩝꩞꩟꫰꫱꯫﹒﹖﹗！．？｡"
@@ -64,6 +77,10 @@ _BARE_TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|{_UNSPACED}[{_SIGNS}]*|(?:(?!{_UNS
 _BLANK = re.compile(r"[^\S\n]*\r?\n(?:[^\S\n]*\r?\n)+\s*")
 _HEADING_WORD = re.compile(rf"(?<!\w)(?:{HEADINGS})\s*$", re.I)
 _NUMBER_END = re.compile(r"(?<![\w.,:/])\d{1,3}$")
+_THAI = re.compile("[฀-๿]")
+_PIECE = re.compile(r"\S+\s*")
+_SPACE = re.compile(r"\s*")
+_ANY_UNSPACED = re.compile(_UNSPACED)
 _INITIAL = re.compile(r"(?:^|[^\w])(?:[^\W\d_]\.)*[^\W\d_]$")
 
 
@@ -73,6 +90,8 @@ def _thai(c: str) -> bool:
 
 def closed_spans(text: str) -> list[tuple[int, int]]:
     """(start, end) of quotations and brackets that are closed within their paragraph; the outermost ones."""
+    if not _QUOTES.search(text):
+        return []
     spans, stack, straight = [], [], -1
     ends = [m.start() for m in _BLANK.finditer(text)] + [len(text)]
     k = 0
@@ -145,7 +164,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
         for i in range(s + 1, e):
             inside[i] = True
     found: dict[int, tuple[int, int]] = {}
-    for m in _BLANK.finditer(text):
+    for m in _BLANK.finditer(text) if "\n" in text else ():
         end = m.start() + len(m.group()) - len(m.group().lstrip())
         if m.end() < len(text) and text[: m.start()].strip():
             found[m.start()] = (m.end(), 1)
@@ -165,7 +184,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
             if not (end > m.end() and text[nxt] in PAIRS):
                 continue
         found.setdefault(end, (nxt, -1 if end == m.end() and _opening_number(text, m.start()) else 0))
-    for m in re.finditer(r"\s+", text):
+    for m in re.finditer(r"\s+", text) if _THAI.search(text) else ():
         a, b = m.start() - 1, m.end()
         if a >= 0 and b < len(text) and _thai(text[a]) and not inside[m.start()] and not text[b].isdigit() and m.start() not in found and (text[b].isalpha() or text[b] in PAIRS):
             found[m.start()] = (b, 0)
@@ -195,8 +214,12 @@ def _opening_number(text: str, stop: int) -> bool:
 
 def annotate(text: str) -> list[int]:
     """Ends of the sentences of a text by rule: the labels that the language model is trained on."""
+    return _annotated(text, candidates(text))
+
+
+def _annotated(text: str, found: list[tuple[int, int, int]]) -> list[int]:
     ends, start = [], 0
-    for end, nxt, certain in candidates(text):
+    for end, nxt, certain in found:
         if certain > 0 or certain == 0 and _ends(text, start, end, nxt):
             ends.append(end)
             start = nxt
@@ -279,15 +302,77 @@ def _gap(space: str) -> str:
     return "¶" if space.count("\n") > 1 else "/" if "\n" in space else "_"
 
 
+#: An n-gram's key is that of its first symbols times MIX plus its last symbol's hash, in 64 bits; that of none is the model's.
+#: What follows it is kept under its key with TOTAL's bits turned.
+MIX, TOTAL, BITS = 0x9E3779B97F4A7C15, 0x5851F42D4C957F2D, (1 << 64) - 1
+SEEDS = (0xD1B54A32D192ED03, 0xAEF17502108EF2D9)
+
+
+@functools.lru_cache(HELD)
+def _hash(symbol: str) -> int:
+    return xxhash.xxh3_64_intdigest(symbol.encode("utf-8", "surrogatepass"))
+
+
+def _bytes(symbol: str) -> bytes:
+    return _hash(symbol).to_bytes(8, sys.byteorder)
+
+
+def _signed(key: int) -> int:
+    return key - (1 << 64) if key >> 63 else key
+
+
+class Words:
+    """The words that a model knows, as hashes in order."""
+
+    def __init__(self, hashes: np.ndarray, bare: bool):
+        self.hashes, self.bare, self.held = hashes, bare, {}
+
+    @staticmethod
+    def hash(word: str, bare: bool) -> int:
+        return _signed(xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), seed=SEEDS[bare]))
+
+    def __contains__(self, word: str) -> bool:
+        known = self.held.get(word)
+        if known is None:
+            x = self.hash(word, self.bare)
+            k = int(np.searchsorted(self.hashes, x))
+            known = word in ABBREVIATIONS or k < len(self.hashes) and int(self.hashes[k]) == x
+            if len(self.held) < HELD:
+                self.held[word] = known
+        return known
+
+
+class Pieces(dict):
+    """The hashes of the symbols of pieces of text, each white space at most at its end."""
+
+    def __init__(self, model: HiddenEventModel, known: bool, spaced: bool):
+        super().__init__()
+        self.model, self.known, self.spaced = model, known, spaced
+
+    def __missing__(self, piece: str) -> bytes:
+        word = piece.rstrip()
+        out = b"".join(_bytes(self.model.cls(t, self.known)) for t, _, _ in tokens(word, self.model.bare))
+        if len(word) < len(piece):
+            gap = _gap(piece[len(word) :])
+            if self.spaced or gap != "_" or out[-8:] != _DANDA:
+                out += _bytes(gap)
+        if len(self) < HELD and len(piece) < 64:
+            self[piece] = out
+        return out
+
+
 class HiddenEventModel:
-    """Interpolated (Witten-Bell) n-gram model over word classes, gaps and the boundary event S."""
+    """Interpolated (Witten-Bell) n-gram model over word classes, gaps and the boundary event S.
+
+    facts: by key, (count, 0) of an n-gram, and (count, kinds) of what follows one.
+    """
 
-    def __init__(self, words: set[str], order: int = ORDER, bare: bool = False):
+    def __init__(self, words: set[str] | Words, order: int = ORDER, bare: bool = False):
         self.words, self.order, self.bare = words, order, bare
         self.held: dict[tuple, list[float]] = {}
-        self.counts: dict[tuple[str, ...], int] = {}
-        self.totals: dict[tuple[str, ...], tuple[int, int]] = {}
-        self.symbols: set[str] = set()
+        self.probs: dict[tuple, float] = {}
+        self.pieces = Pieces(self, True, True), Pieces(self, False, True), Pieces(self, False, False)
+        self.facts: dict[int, tuple[int, int]] = {}
 
     def cls(self, token: str, known: bool = True) -> str:
         return token if token in (self.words if known else ABBREVIATIONS) else ALIKE.get(token, token) if not token[0].isalnum() else _shape(token)
@@ -310,44 +395,62 @@ class HiddenEventModel:
                     steps.append(((), ("S",), e))
         return steps
 
+    def sequences(self, text: str, events: set[int], closed: set[int]):
+        """Hashes of the symbols of a text, as the lattice has them, with the events after some ends; closed: gaps that are none
+        for certain. Texts of caseless scripts count again with no word known, and without the space after a mark, for others of the kind."""
+        last = len(text.rstrip())
+        marked = [(e, _SPACE.match(text, e).end()) for e in sorted(events | closed) if 0 < e < last and not text[e - 1].isspace()]
+        for pieces in self.pieces if _CASELESS.search(text) else self.pieces[:1]:
+            seq, pos = [_START, _S], 0
+            for e, nxt in marked:
+                seq += map(pieces.__getitem__, _PIECE.findall(text, pos, e))
+                if nxt > e:
+                    gap = _gap(text[e:nxt])
+                    if e in closed:
+                        seq.append(_bytes(gap + "-"))
+                    elif pieces.spaced or gap != "_" or seq[-1][-8:] != _DANDA:
+                        seq.append(_bytes(gap))
+                if e in events:
+                    seq.append(_S)
+                pos = nxt
+            seq += map(pieces.__getitem__, _PIECE.findall(text, pos, last))
+            seq.append(_S)
+            yield b"".join(seq)
+
     def train(self, examples) -> None:
         """Counts of the n-grams of examples (text, ends of its sentences, gaps); called once."""
-        counts: Counter[tuple[str, ...]] = Counter()
+        grams = Grams()
         for text, ends, gaps in examples:
-            # texts of caseless scripts count again with no word known, and without the space after a mark, for others of the kind
-            for known, spaced in ((True, True), (False, True), (False, False)) if _CASELESS.search(text) else ((True, True),):
-                seq = [START, "S"]
-                for plain, event, at in self.lattice(text, gaps, known):
-                    new = event if event is not None and at in ends else plain
-                    seq.extend(new if spaced or seq[-1] != "।" or new[:1] != ("_",) else new[1:])
-                seq.append("S")
-                for n in range(1, self.order + 1):
-                    # what is predicted is what follows the opening two symbols
-                    counts.update(zip(*(seq[max(0, 3 - n) + k :] for k in range(n))))
-        totals: dict[tuple[str, ...], list[int]] = {}
-        for key, c in counts.items():
-            total = totals.setdefault(key[:-1], [0, 0])
-            total[0] += c
-            total[1] += 1
-            if len(key) == 1:
-                self.symbols.add(key[0])
-        self.counts = {k: c for k, c in counts.items() if c > 1 or len(k) < RARE_FROM}
-        self.totals = {h: tuple(x) for h, x in totals.items() if x[0] > 1 or len(h) + 1 < RARE_FROM}
-
-    @functools.lru_cache(100_000)  # noqa: B019
-    def prob(self, history: tuple[str, ...], symbol: str) -> float:
-        total = self.totals.get(history)
-        lower = self.prob(history[1:], symbol) if history else 1.0 / (len(self.symbols) + 1)
-        if not total:
-            return lower
-        n, kinds = total
-        return (self.counts.get((*history, symbol), 0) + kinds * lower) / (n + kinds)
+            grams.add(self, text, *_fixed(ends, gaps))
+        g, h, c = grams.take()
+        long = c < 0
+        c = np.abs(c)
+        keys, at = np.unique(g, return_inverse=True)
+        total, kinds, rare = np.zeros(len(keys), np.int64), np.bincount(at, minlength=len(keys)), np.zeros(len(keys), bool)
+        np.add.at(total, at, c)
+        rare[at] = long
+        self.facts = {k: (n, 0) for k, n, x in zip(h.tolist(), c.tolist(), long.tolist()) if n > 1 or not x}
+        self.facts |= {k ^ TOTAL: (n, m) for k, n, m, x in zip(keys.tolist(), total.tolist(), kinds.tolist(), rare.tolist()) if n > 1 or not x}
+
+    def keys(self, history: tuple[str, ...], symbol: str) -> tuple[int, int]:
+        """Keys of the n-gram and of what follows the history."""
+        key = SEEDS[self.bare]
+        for s in history:
+            key = (key * MIX + _hash(s)) & BITS
+        return (key * MIX + _hash(symbol)) & BITS, key ^ TOTAL
 
-    def __getstate__(self):
-        return {"words": self.words, "order": self.order, "bare": self.bare, "held": {}, "counts": self.counts, "totals": self.totals, "symbols": self.symbols}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
+    def prob(self, history: tuple[str, ...], symbol: str) -> float:
+        found = self.probs.get((history, symbol))
+        if found is None:
+            key, under = self.keys(history, symbol)
+            n, kinds = self.facts.get(under, (0, 0))
+            # of no history, the kinds are the symbols
+            found = self.prob(history[1:], symbol) if history else 1.0 / (kinds + 1)
+            if n:
+                found = (self.facts.get(key, (0, 0))[0] + kinds * found) / (n + kinds)
+            if len(self.probs) < HELD:
+                self.probs[history, symbol] = found
+        return found
 
     def _follow(self, history: tuple[str, ...], symbols: tuple[str, ...]) -> tuple[tuple[str, ...], float]:
         p = 1.0
@@ -427,6 +530,87 @@ class HiddenEventModel:
         return result[::-1]
 
 
+class Asking(HiddenEventModel):
+    """Takes every n-gram as likely and keeps the keys of those it was asked for."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.asked: set[tuple] = set()
+        self.new: list[int] = []
+
+    def prob(self, history: tuple[str, ...], symbol: str) -> float:
+        while (history, symbol) not in self.asked:
+            self.asked.add((history, symbol))
+            self.new += self.keys(history, symbol)
+            if not history:
+                break
+            history = history[1:]
+        return 1.0
+
+
+class Grams:
+    """Counts of n-grams by key, with the key of what they follow; those of RARE_FROM symbols and more are negative."""
+
+    def __init__(self):
+        self.seqs: dict[bool, list[bytes]] = {False: [], True: []}
+        self.sizes = {False: 0, True: 0}
+        self.orders: dict[bool, int] = {}
+        self.tables: list[pa.Table] = []
+
+    def add(self, model: HiddenEventModel, text: str, events: set[int], closed: set[int]) -> None:
+        bare = model.bare
+        self.orders[bare] = model.order
+        for seq in model.sequences(text, events, closed):
+            self.seqs[bare].append(seq)
+            self.sizes[bare] += len(seq) // 8
+        if self.sizes[bare] >= BLOCK_SYMBOLS:
+            self._count(bare)
+
+    def _count(self, bare: bool) -> None:
+        if not self.seqs[bare]:
+            return
+        seq, sizes = np.frombuffer(b"".join(self.seqs[bare]), np.uint64), np.array([len(x) // 8 for x in self.seqs[bare]])
+        ends = np.repeat(np.cumsum(sizes), sizes)
+        start = np.arange(len(seq)) - (ends - np.repeat(sizes, sizes))
+        left = ends - np.arange(len(seq))
+        key = np.full(len(seq), SEEDS[bare], np.uint64)
+        for n in range(1, min(self.orders[bare], len(seq)) + 1):
+            under, key = key, key.copy()
+            key[: len(seq) - n + 1] = under[: len(seq) - n + 1] * np.uint64(MIX) + seq[n - 1 :]
+            # what is predicted is what follows the opening two symbols
+            keep = (left >= n) & (start >= 3 - n)
+            t = pa.table([pa.array(under[keep]), pa.array(key[keep])], names=["g", "h"]).group_by(["g", "h"], use_threads=False).aggregate([([], "count_all")])
+            c = t["count_all"].to_numpy()
+            self.tables.append(pa.table([t["g"], t["h"], pa.array(-c if n >= RARE_FROM else c)], names=["g", "h", "c"]))
+        self.seqs[bare], self.sizes[bare] = [], 0
+        if sum(t.num_rows for t in self.tables) > 2 * HELD_GRAMS:
+            self._merge()
+
+    def _merge(self) -> None:
+        if len(self.tables) > 1:
+            t = pa.concat_tables(self.tables).group_by(["g", "h"], use_threads=False).aggregate([("c", "sum")])
+            self.tables = [pa.table([t["g"], t["h"], t["c_sum"]], names=["g", "h", "c"])]
+
+    def full(self) -> bool:
+        return len(self.tables) == 1 and self.tables[0].num_rows > HELD_GRAMS
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(what they follow, keys, counts), each n-gram once; they are counted anew after it."""
+        for bare in (False, True):
+            self._count(bare)
+        self._merge()
+        t, self.tables = (self.tables or [pa.table({"g": pa.array([], "uint64"), "h": pa.array([], "uint64"), "c": pa.array([], "int64")})])[0], []
+        return tuple(t[c].to_numpy() for c in ("g", "h", "c"))
+
+
+_START, _S, _DANDA = _bytes(START), _bytes("S"), _bytes("।")
+
+
+def _fixed(ends: set[int], gaps: dict[int, int]) -> tuple[set[int], set[int]]:
+    """Ends that have an event in the lattice, and gaps that are none for certain."""
+    return {e for e in ends if gaps.get(e, -1) >= 0}, {e for e, c in gaps.items() if c < 0}
+
+
 class Splitter:
     """The two models: of texts as they are, and of texts without final marks."""
 
@@ -469,8 +653,7 @@ def without_marks(text: str, ends: list[int]) -> tuple[str, list[int]]:
         size += len(piece)
         places.append(size)
         at = end
-        rest = text[end:]
-        gap = rest[: len(rest) - len(rest.lstrip())]
+        gap = _SPACE.match(text, end).group()
         out.append(gap)
         size += len(gap)
         at += len(gap)
@@ -492,34 +675,97 @@ def _examples(texts: list[str], bare: bool):
             yield text, set(ends), {end: c for end, _, c in candidates(text)}
 
 
+def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel) -> None:
+    """Add the n-grams of a text, labelled by rule, as it is and without its final marks, as train does with _examples."""
+    found = candidates(text)
+    ends = _annotated(text, found)
+    grams.add(marked, text, *_fixed(set(ends), {e: c for e, _, c in found}))
+    text, ends = without_marks(text, ends)
+    if _ANY_UNSPACED.search(text) or _THAI.search(text):
+        held = set(ends)
+        grams.add(bare, text, *_fixed(held, {e: 0 if e in held else c for e, _, c in bare_candidates(text)}))
+        return
+    # elsewhere no gap is closed, and only the ends are to be looked at
+    events, spans = set(), closed_spans(text)
+    for e in ends:
+        nxt = _SPACE.match(text, e).end()
+        if 0 < e < nxt < len(text) and not any(s < e < f for s, f in spans):
+            a, b = text[e - 1], text[nxt]
+            if (a.isalnum() or a in CLOSING or unicodedata.category(a)[0] == "M") and (b.isalnum() or b in PAIRS):
+                events.add(e)
+    grams.add(bare, text, events, set())
+
+
+def _count_words(counts: Counter, bare: bool) -> Counter:
+    """Words of pieces without white space, with their counts."""
+    seen: Counter[str] = Counter()
+    for piece, n in counts.items():
+        for t, _, _ in tokens(piece, bare):
+            if t[0].isalpha():
+                seen[t] += n
+    return seen
+
+
 def train_model(texts: list[str]) -> Splitter:
     """The models of texts labelled by rule. Their words are those that occur WORD_LEAST times in them."""
     models = []
     for bare in (False, True):
-        seen = Counter(t for text in texts for t, _, _ in tokens(text, bare) if t[0].isalpha())
+        seen = _count_words(Counter(p for text in texts for p in text.split()), bare)
         model = HiddenEventModel({w for w, n in seen.items() if n >= WORD_LEAST} | ABBREVIATIONS, BARE_ORDER if bare else ORDER, bare)
         model.train(_examples(texts, bare))
         models.append(model)
     return Splitter(*models)
 
 
-def script_sample(df: DataFrame, most: int = TRAIN_ROWS) -> list[str]:
-    """Texts of at most about `most` rows of (id, text), as many of each script as there are, those with the lowest hashes."""
-    first = F.ascii(F.regexp_extract("text", "[\u0400-\u052f\u0590-\u1cff\u2e80-\ud7ff\uf900-\ufaff\uff66-\uff9f]", 0))
-    script = F.when(first < 0x400, "latin")
-    for name, start, end in (("cyrillic", 0x400, 0x530), ("semitic", 0x530, 0x900), ("indic", 0x900, 0xE00), ("thai", 0xE00, 0xE80), ("hangul", 0xAC00, 0xD7B0), ("cjk", 0x2E80, 0xFFFF)):
-        script = script.when((first >= start) & (first < end), name)
-    rows = df.where(F.trim("text") != "").select(F.xxhash64("id").alias("h"), script.otherwise("other").alias("script"), "text")
-    sizes = {r["script"]: r["n"] for r in rows.groupBy("script").agg(F.count("*").alias("n")).collect()}  # a row a script
-    share, left, most_hash = most // max(1, len(sizes)), most, {}
-    for k, (name, n) in enumerate(sorted(sizes.items(), key=lambda x: x[1])):
-        take = min(n, max(share, left // (len(sizes) - k)))
-        left -= take
-        most_hash[name] = 2**63 - 1 if take >= n else int(-(2**63) + 2**64 * take / n)
-    if not sizes:
-        return []
-    bound = F.create_map(*(F.lit(x) for pair in most_hash.items() for x in pair))
-    return rows.where(F.col("h") <= bound[F.col("script")]).select("h", "text").orderBy("h", "text").toArrow().column(1).to_pylist()
+def _models(words: dict[bool, np.ndarray], kind: type = HiddenEventModel) -> tuple[HiddenEventModel, HiddenEventModel]:
+    return tuple(kind(Words(words[bare], bare), BARE_ORDER if bare else ORDER, bare) for bare in (False, True))
+
+
+def known_words(texts: DataFrame) -> dict[bool, np.ndarray]:
+    """Hashes of the words that occur WORD_LEAST times in all texts, in order, by model; of them alone the driver gets 8 bytes each."""
+
+    def run(batches):
+        held: Counter[str] = Counter()
+        for b in batches:
+            for t in b.column(0).to_pylist():
+                held.update(t.split())
+            if len(held) > HELD_WORDS:
+                yield from out(held)
+                held.clear()
+        yield from out(held)
+
+    def out(held):
+        for bare in (False, True):
+            seen = _count_words(held, bare)
+            yield pa.RecordBatch.from_arrays([pa.array([bare] * len(seen), pa.bool_()), pa.array([Words.hash(w, bare) for w in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["bare", "word", "n"])
+
+    found = texts.mapInArrow(run, "bare boolean, word bigint, n bigint").groupBy("bare", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= WORD_LEAST).select("bare", "word").toArrow()
+    of, words = found.column(0).to_numpy(), found.column(1).to_numpy()
+    return {bare: np.sort(words[of == bare]) for bare in (False, True)}
+
+
+def gram_facts(texts: DataFrame, words) -> DataFrame:
+    """(key, a, b) of HiddenEventModel.facts, counted over all texts; words: the broadcast hashes of the words known."""
+
+    def run(batches):
+        models, grams = _models(words.value), Grams()
+        for b in batches:
+            for t in filter(str.strip, b.column(0).to_pylist()):
+                count_text(t, grams, *models)
+                if grams.full():
+                    yield out(grams)
+        yield out(grams)
+
+    def out(grams):
+        g, h, c = grams.take()
+        return pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(h.view(np.int64)), pa.array(c)], names=["g", "h", "c"])
+
+    grams = texts.mapInArrow(run, "g bigint, h bigint, c bigint").repartition("g").groupBy("g", "h").agg(F.sum("c").alias("c"))
+    grams = cut(grams, "grams")
+    used = (F.col("a") > 1) | ~F.col("long")
+    counts = grams.select(F.col("h").alias("key"), F.abs("c").alias("a"), F.lit(0).cast("bigint").alias("b"), (F.col("c") < 0).alias("long"))
+    totals = grams.groupBy(F.col("g").bitwiseXOR(F.lit(TOTAL)).alias("key")).agg(F.sum(F.abs("c")).alias("a"), F.count("*").alias("b"), (F.min("c") < 0).alias("long"))
+    return counts.unionByName(totals).where(used).drop("long")
 
 
 _UNITS = T.StructType([T.StructField("id", T.StringType()), T.StructField("sentence_no", T.IntegerType()), T.StructField("start_pos", T.IntegerType()), T.StructField("end_pos", T.IntegerType()), T.StructField("text", T.StringType())])
@@ -528,16 +774,40 @@ _UNITS = T.StructType([T.StructField("id", T.StringType()), T.StructField("sente
 def split_sentences(df: DataFrame, id_col: str = "id", text_col: str = "text", examples: DataFrame | None = None) -> DataFrame:
     """(id, sentence_no, start_pos, end_pos, text) of every sentence of every row, in reading order.
 
-    examples: (id, text), the rows that the models are trained on a sample of; without them, df itself.
+    examples: (id, text), the rows that the models are trained on, all of them; without them, df itself. Their counts are
+    joined to the rows by blocks of BLOCK_ROWS, each with those that its stretches may ask for.
     """
+    spark = df.sparkSession
     src = df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text")).where(F.col(text_col).isNotNull())
-    shared = df.sparkSession.sparkContext.broadcast(train_model(script_sample(src if examples is None else examples.select("id", "text").where("text is not null"))))
+    texts = (src if examples is None else examples).select("text").where(F.trim("text") != "")
+    words = spark.sparkContext.broadcast(known_words(texts))
 
-    def run(batches):
-        model = shared.value
+    def ask(batches):
+        part, count, models, splitter = TaskContext.get().partitionId(), 0, (), None
         for b in batches:
-            rows = [(i, n, s, e, t[s:e]) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for n, (s, e) in enumerate(model.split(t))]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()))], names=_UNITS.names)
-
-    return src.mapInArrow(run, _UNITS)
+            keys = []
+            for t in b.column(1).to_pylist():
+                if count % BLOCK_ROWS == 0:
+                    models = _models(words.value, Asking)
+                    splitter = Splitter(*models)
+                count += 1
+                splitter.split(t)
+                keys.append([_signed(k) for m in models for k in m.new])
+                for m in models:
+                    m.new = []
+            at = count - b.num_rows
+            blocks = pa.array([(part << 32) + (at + k) // BLOCK_ROWS for k in range(b.num_rows)], pa.int64())
+            yield pa.RecordBatch.from_arrays([blocks, b.column(0), b.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["block", "id", "text", "keys"])
+
+    def run(rows, facts):
+        held = dict(zip(facts["key"].to_numpy().view(np.uint64).tolist(), zip(facts["a"].to_pylist(), facts["b"].to_pylist())))
+        models = _models(words.value)
+        for m in models:
+            m.facts = held
+        splitter = Splitter(*models)
+        found = [(i, n, s, e, t[s:e]) for i, t in zip(rows["id"].to_pylist(), rows["text"].to_pylist()) for n, (s, e) in enumerate(splitter.split(t))]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 5, (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()))], names=_UNITS.names)
+
+    rows = cut(src.mapInArrow(ask, "block bigint, id string, text string, keys array<bigint>"), "asked")
+    facts = rows.select("block", F.explode("keys").alias("key")).join(gram_facts(texts, words), "key").select(F.col("block").alias("of"), "key", "a", "b")
+    return rows.select("block", "id", "text").groupBy("block").cogroup(facts.groupBy("of")).applyInArrow(run, _UNITS)

@@ -111,6 +111,24 @@ def test_sentence_rows(spark):
     assert sentences.split_sentences(df.limit(0)).count() == 0
 
 
+def test_models_are_of_all_rows(spark):
+    """Of 5,000 rows, the only texts with sentences to learn from are the 40 whose ids have the highest hashes, which a sample by hash leaves out."""
+    from pyspark.sql import functions as F
+
+    ids = [r["id"] for r in spark.range(5000).select(F.col("id").cast("string").alias("id")).orderBy(F.xxhash64("id")).collect()]
+    learnt = "Kho mở cửa từ sáng sớm. Bến đò đóng lúc chiều muộn. Kho mở cửa từ sáng sớm."
+    plain = "Kho mở cửa từ sáng sớm Bến đò đóng lúc chiều muộn Kho mở cửa từ sáng sớm"
+    texts = {i: learnt if k >= 4960 else f"mục {k % 50} và dòng kẻ ngang" for k, i in enumerate(ids)}
+    asked = spark.createDataFrame([("a", plain), ("b", TEXTS[0])], "id string, text string")
+    out = sentences.split_sentences(asked, examples=spark.createDataFrame(list(texts.items()), "id string, text string")).collect()
+    assert sorted(r["text"] for r in out if r["id"] == "a") == ["Bến đò đóng lúc chiều muộn", "Kho mở cửa từ sáng sớm", "Kho mở cửa từ sáng sớm"]
+    # the joined counts split as the model that holds all of them
+    whole = sentences.train_model(list(texts.values()))
+    assert [(r["start_pos"], r["end_pos"]) for r in out if r["id"] == "b"] == whole.split(TEXTS[0])
+    # fewer symbols than the model's order
+    assert [r["text"] for r in sentences.split_sentences(spark.createDataFrame([("a", "Một")], "id string, text string")).collect()] == ["Một"]
+
+
 NATURAL = ["Phòng Thủy nông giám sát hợp đồng thuê bãi đỗ xe trong vòng 30 ngày làm việc, nếu lối đi chung bị rào chắn.", "Tổ kỹ thuật ghi nhận 235 lượt báo lỗi 404 trong tháng 7, chủ yếu do liên kết cũ.", "Khi soạn biểu mẫu, cán bộ thay trường có dạng {{ten_truong}} bằng nội dung thật.", "Nhà thầu in thử sách bằng đoạn “lorem ipsum” 6 trang rồi mới đưa bản thật vào.", "Hướng dẫn tra cứu: người dùng bật JavaScript trong mục Cài đặt, sau đó đăng nhập.", "Công thức: S = {x | x > 5}, với #mục <23."]
 
 
