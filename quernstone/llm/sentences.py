@@ -45,6 +45,8 @@ BARE_LEAST, BARE_POSTERIOR = 12, 0.8
 HELD_STRETCHES, HELD = 50_000, 200_000
 #: Symbols that are counted at once, and n-grams and words that a task holds before it passes their counts on.
 BLOCK_SYMBOLS, HELD_GRAMS, HELD_WORDS = 400_000, 1_500_000, 1_000_000
+#: Bits of the largest filter of the n-grams that are asked for, as a power of two; when it fills up, more that aren't are counted too.
+FILTER_BITS = 28
 #: Rows whose stretches are looked up and summed over together.
 BLOCK_ROWS = 2_000
 
@@ -75,12 +77,15 @@ _SIGNS = "\u0300-\u036f\u0591-\u05bd\u0610-\u061a\u064b-\u065f\u0900-\u0963\u0e3
 _TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:[{_SIGNS}]+[^\W\d_]*)*|\s+|[^\w\s]|_", re.S)
 _BARE_TOKEN = re.compile(rf"\d+(?:[.,:/]\d+)*|{_UNSPACED}[{_SIGNS}]*|(?:(?!{_UNSPACED})[^\W\d_])+(?:[{_SIGNS}]+(?:(?!{_UNSPACED})[^\W\d_])*)*|\s+|[^\w\s]|_", re.S)
 _BLANK = re.compile(r"[^\S\n]*\r?\n(?:[^\S\n]*\r?\n)+\s*")
+_BLANK_LINE = re.compile(r"\n[^\S\n]*\n")
 _HEADING_WORD = re.compile(rf"(?<!\w)(?:{HEADINGS})\s*$", re.I)
 _NUMBER_END = re.compile(r"(?<![\w.,:/])\d{1,3}$")
 _THAI = re.compile("[฀-๿]")
 _PIECE = re.compile(r"\S+\s*")
 _SPACE = re.compile(r"\s*")
 _ANY_UNSPACED = re.compile(_UNSPACED)
+#: A letter of a script that doesn't part words or has no case, or one beside them.
+_OTHER = re.compile("[\u0590-\u1dff\u2e80-\U0010ffff]")
 _INITIAL = re.compile(r"(?:^|[^\w])(?:[^\W\d_]\.)*[^\W\d_]$")
 
 
@@ -93,7 +98,7 @@ def closed_spans(text: str) -> list[tuple[int, int]]:
     if not _QUOTES.search(text):
         return []
     spans, stack, straight = [], [], -1
-    ends = [m.start() for m in _BLANK.finditer(text)] + [len(text)]
+    ends = [m.start() for m in _BLANK.finditer(text)] + [len(text)] if _BLANK_LINE.search(text) else [len(text)]
     k = 0
     for m in _QUOTES.finditer(text):
         i, c = m.start(), m.group()
@@ -133,23 +138,21 @@ def bare_paragraphs(text: str) -> list[tuple[int, int]]:
 
 def bare_candidates(text: str) -> list[tuple[int, int, int]]:
     """As candidates, of a paragraph without final marks: every gap between words, and between letters of unspaced scripts."""
-    toks = [(m.group(), m.start(), m.end()) for m in _BARE_TOKEN.finditer(text)]
-    inside = [False] * (len(text) + 1)
+    toks = tokens(text, True)
+    inside = bytearray(len(text) + 1)
     for s, e in closed_spans(text):
-        inside[s + 1 : e] = [True] * (e - s - 1)
+        inside[s + 1 : e] = b"\1" * (e - s - 1)
     found = []
-    for (x, _, e), (y, s, f) in zip(toks, toks[1:]):
-        if y.isspace() or inside[e]:
-            continue
-        if x.isspace():
-            continue
-        if x[0].isalnum() and y[0].isalnum() and re.match(_UNSPACED, x) and re.match(_UNSPACED, y):
-            found.append((e, s, 0))
+    unspaced = False
+    for x, s, e in toks:
+        before, unspaced = unspaced, _ANY_UNSPACED.match(x) is not None
+        if before and unspaced and not inside[s]:
+            found.append((s, s, 0))
     for k in range(1, len(toks) - 1):
         x, s, e = toks[k]
         if x.isspace() and not inside[s]:
             a, b = toks[k - 1][0], toks[k + 1][0]
-            if (a[-1].isalnum() or a[-1] in CLOSING or unicodedata.category(a[-1])[0] == "M") and (b[0].isalnum() or b[0] in PAIRS):
+            if _parts(a[-1], b[0]):
                 digit = a[-1].isdigit() or b[0].isdigit()
                 found.append((s, e, -1 if digit and (_thai(a[-1]) or _thai(b[0])) else 0))
     return sorted(found)
@@ -158,18 +161,18 @@ def bare_candidates(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str) -> list[tuple[int, int, int]]:
     """(end, next, certainty) of gaps where a sentence may end: the end of its last visible character, the start of what
     follows, and 1 if it must end there, -1 if not, 0 if the model decides."""
-    spans = closed_spans(text)
-    inside = [False] * (len(text) + 1)
-    for s, e in spans:
-        for i in range(s + 1, e):
-            inside[i] = True
+    inside = bytearray(len(text) + 1)
+    for s, e in closed_spans(text):
+        inside[s + 1 : e] = b"\1" * (e - s - 1)
     found: dict[int, tuple[int, int]] = {}
-    for m in _BLANK.finditer(text) if "\n" in text else ():
+    for m in _BLANK.finditer(text) if _BLANK_LINE.search(text) else ():
         end = m.start() + len(m.group()) - len(m.group().lstrip())
         if m.end() < len(text) and text[: m.start()].strip():
             found[m.start()] = (m.end(), 1)
     for m in _STOP.finditer(text):
         end = m.end()
+        if end == len(text) or text[end].isalnum() and text[end].isascii() and m.group()[-1] not in IDEOGRAPHIC_FINALS:
+            continue
         while end < len(text) and (text[end] in CLOSING or text[end] in "   " and text[end + 1 : end + 2] == "»"):
             if text[end] in "\"'" and not inside[end]:
                 break
@@ -193,7 +196,7 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
 
 def _opening_number(text: str, stop: int) -> bool:
     """Whether a number before the stop opens a sentence, as a label does: after a final mark, an empty line or nothing."""
-    number = _NUMBER_END.search(text, max(0, stop - 4), stop)
+    number = _NUMBER_END.search(text, max(0, stop - 4), stop) if stop and (text[stop - 1].isdecimal() or text[stop - 1] == "\n") else None
     if not number:
         return False
     before = text[: number.start()]
@@ -244,7 +247,11 @@ def _ends(text: str, start: int, end: int, nxt: int) -> bool:
         return False
     if mark == ".":
         word = core.rstrip(".…")
-        stem = re.search(r"[^\s(“«\"'’]*$", word).group()
+        line = word.removesuffix("\n")
+        at = len(line)
+        while at and line[at - 1] not in "(“«\"'’" and not line[at - 1].isspace():
+            at -= 1
+        stem = line[at:]
         if _LABEL.match(word.strip()):
             return False
         if not closers and core.endswith("...") is False:
@@ -342,16 +349,31 @@ class Words:
         return known
 
 
+class Symbols(dict):
+    """The hashes of the symbols of tokens."""
+
+    def __init__(self, model: HiddenEventModel, known: bool):
+        super().__init__()
+        self.model, self.known = model, known
+
+    def __missing__(self, token: str) -> bytes:
+        out = _bytes(self.model.cls(token, self.known))
+        if len(self) < HELD and len(token) < 64:
+            self[token] = out
+        return out
+
+
 class Pieces(dict):
     """The hashes of the symbols of pieces of text, each white space at most at its end."""
 
     def __init__(self, model: HiddenEventModel, known: bool, spaced: bool):
         super().__init__()
-        self.model, self.known, self.spaced = model, known, spaced
+        self.symbols, self.spaced = Symbols(model, known), spaced
+        self.tokens = (_BARE_TOKEN if model.bare else _TOKEN).findall
 
     def __missing__(self, piece: str) -> bytes:
         word = piece.rstrip()
-        out = b"".join(_bytes(self.model.cls(t, self.known)) for t, _, _ in tokens(word, self.model.bare))
+        out = b"".join(map(self.symbols.__getitem__, self.tokens(word)))
         if len(word) < len(piece):
             gap = _gap(piece[len(word) :])
             if self.spaced or gap != "_" or out[-8:] != _DANDA:
@@ -371,11 +393,12 @@ class HiddenEventModel:
         self.words, self.order, self.bare = words, order, bare
         self.held: dict[tuple, list[float]] = {}
         self.probs: dict[tuple, float] = {}
+        self.steps: dict[tuple, tuple] = {}
         self.pieces = Pieces(self, True, True), Pieces(self, False, True), Pieces(self, False, False)
         self.facts: dict[int, tuple[int, int]] = {}
 
     def cls(self, token: str, known: bool = True) -> str:
-        return token if token in (self.words if known else ABBREVIATIONS) else ALIKE.get(token, token) if not token[0].isalnum() else _shape(token)
+        return token if token[0].isalpha() and token in (self.words if known else ABBREVIATIONS) else ALIKE.get(token, token) if not token[0].isalnum() else _shape(token)
 
     def lattice(self, text: str, gaps: dict[int, int], known: bool = True) -> list[tuple[tuple[str, ...], tuple[str, ...] | None, int]]:
         """Per step the symbols without an event, the symbols with one (None: no choice) and the gap's end position."""
@@ -390,7 +413,12 @@ class HiddenEventModel:
                 elif 0 < k < len(toks) - 1:
                     steps.append(((_gap(t),), None, -1))
             else:
-                steps.append(((self.cls(t, known),), None, -1))
+                step = self.steps.get((t, known))
+                if step is None:
+                    step = (self.cls(t, known),), None, -1
+                    if len(self.steps) < HELD:
+                        self.steps[t, known] = step
+                steps.append(step)
                 if gaps.get(e, -1) >= 0 and k + 1 < len(toks) and not toks[k + 1][0].isspace():
                     steps.append(((), ("S",), e))
         return steps
@@ -548,40 +576,66 @@ class Asking(HiddenEventModel):
         return 1.0
 
 
+def places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Places of keys of what n-grams follow in a filter of so many bits, as a power of two."""
+    return keys >> np.uint64(64 - bits)
+
+
+def among(asked: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a filter holds; it holds all that were asked for, and few others."""
+    at = places(keys, (8 * len(asked)).bit_length() - 1)
+    return asked[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
+
+
 class Grams:
-    """Counts of n-grams by key, with the key of what they follow; those of RARE_FROM symbols and more are negative."""
+    """Counts of n-grams by key, with the key of what they follow; those of RARE_FROM symbols and more are negative.
+
+    asked: the filter of what they may follow; without one, all are counted.
+    """
 
-    def __init__(self):
+    def __init__(self, asked: np.ndarray | None = None):
+        self.asked = asked
         self.seqs: dict[bool, list[bytes]] = {False: [], True: []}
         self.sizes = {False: 0, True: 0}
         self.orders: dict[bool, int] = {}
         self.tables: list[pa.Table] = []
 
     def add(self, model: HiddenEventModel, text: str, events: set[int], closed: set[int]) -> None:
+        for seq in model.sequences(text, events, closed):
+            self.put(model, [seq])
+
+    def put(self, model: HiddenEventModel, seq: list[bytes]) -> None:
         bare = model.bare
         self.orders[bare] = model.order
-        for seq in model.sequences(text, events, closed):
-            self.seqs[bare].append(seq)
-            self.sizes[bare] += len(seq) // 8
+        self.seqs[bare] += seq
+        self.sizes[bare] += sum(map(len, seq)) // 8
         if self.sizes[bare] >= BLOCK_SYMBOLS:
             self._count(bare)
 
     def _count(self, bare: bool) -> None:
         if not self.seqs[bare]:
             return
-        seq, sizes = np.frombuffer(b"".join(self.seqs[bare]), np.uint64), np.array([len(x) // 8 for x in self.seqs[bare]])
-        ends = np.repeat(np.cumsum(sizes), sizes)
-        start = np.arange(len(seq)) - (ends - np.repeat(sizes, sizes))
-        left = ends - np.arange(len(seq))
-        key = np.full(len(seq), SEEDS[bare], np.uint64)
-        for n in range(1, min(self.orders[bare], len(seq)) + 1):
-            under, key = key, key.copy()
-            key[: len(seq) - n + 1] = under[: len(seq) - n + 1] * np.uint64(MIX) + seq[n - 1 :]
-            # what is predicted is what follows the opening two symbols
-            keep = (left >= n) & (start >= 3 - n)
-            t = pa.table([pa.array(under[keep]), pa.array(key[keep])], names=["g", "h"]).group_by(["g", "h"], use_threads=False).aggregate([([], "count_all")])
+        seq = np.frombuffer(b"".join(self.seqs[bare]), np.uint64)
+        opens = seq == np.frombuffer(_START, np.uint64)[0]
+        # what is predicted is what follows the opening two symbols
+        said = ~opens
+        said[1:] &= ~opens[:-1]
+        at = np.flatnonzero(said).astype(np.int32)
+        rest, first, power = np.zeros(len(at), np.uint64), SEEDS[bare], 1
+        for n in range(1, self.orders[bare] + 1):
+            # the key of the n - 1 symbols before; where it isn't asked for, no longer one is
+            under = rest + np.uint64(first)
+            if self.asked is not None and n > 1:
+                keep = np.flatnonzero(among(self.asked, under))
+                at, rest, under = at[keep], rest[keep], under[keep]
+            t = pa.table([pa.array(under), pa.array(under * np.uint64(MIX) + seq[at])], names=["g", "h"]).group_by(["g", "h"][n == 1 :], use_threads=False).aggregate([("g", "min"), ([], "count_all")])
             c = t["count_all"].to_numpy()
-            self.tables.append(pa.table([t["g"], t["h"], pa.array(-c if n >= RARE_FROM else c)], names=["g", "h", "c"]))
+            self.tables.append(pa.table([t["g_min"], t["h"], pa.array(-c if n >= RARE_FROM else c)], names=["g", "h", "c"]))
+            if n > 2:
+                keep = np.flatnonzero(~opens[at - (n - 1)])
+                at, rest = at[keep], rest[keep]
+            rest = rest + seq[at - n] * np.uint64(power)
+            first, power = first * MIX & BITS, power * MIX & BITS
         self.seqs[bare], self.sizes[bare] = [], 0
         if sum(t.num_rows for t in self.tables) > 2 * HELD_GRAMS:
             self._merge()
@@ -603,7 +657,7 @@ class Grams:
         return tuple(t[c].to_numpy() for c in ("g", "h", "c"))
 
 
-_START, _S, _DANDA = _bytes(START), _bytes("S"), _bytes("।")
+_START, _S, _DANDA, _BLANK_GAP, _LINE = _bytes(START), _bytes("S"), _bytes("।"), _bytes("_"), _bytes("/")
 
 
 def _fixed(ends: set[int], gaps: dict[int, int]) -> tuple[set[int], set[int]]:
@@ -675,13 +729,35 @@ def _examples(texts: list[str], bare: bool):
             yield text, set(ends), {end: c for end, _, c in candidates(text)}
 
 
-def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel) -> None:
+class Shared(dict):
+    """The hashes of the symbols of words, of scripts that part words, in which two models agree; None for other words, and for what isn't one word."""
+
+    def __init__(self, marked: HiddenEventModel, bare: HiddenEventModel):
+        super().__init__()
+        self.of_marked, self.of_bare = (m.pieces[0].symbols.__getitem__ for m in (marked, bare))
+
+    def __missing__(self, word: str) -> bytes | None:
+        out = None
+        if word and word.split() == [word]:
+            found = _TOKEN.findall(word)
+            out = b"".join(map(self.of_marked, found))
+            if out != b"".join(map(self.of_bare, found)):
+                out = None
+        if len(self) < HELD and len(word) < 64:
+            self[word] = out
+        return out
+
+
+def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> None:
     """Add the n-grams of a text, labelled by rule, as it is and without its final marks, as train does with _examples."""
     found = candidates(text)
     ends = _annotated(text, found)
+    other = _OTHER.search(text)
+    if not other and _count_both(text, found, set(ends), grams, marked, bare, shared):
+        return
     grams.add(marked, text, *_fixed(set(ends), {e: c for e, _, c in found}))
     text, ends = without_marks(text, ends)
-    if _ANY_UNSPACED.search(text) or _THAI.search(text):
+    if other and (_ANY_UNSPACED.search(text) or _THAI.search(text)):
         held = set(ends)
         grams.add(bare, text, *_fixed(held, {e: 0 if e in held else c for e, _, c in bare_candidates(text)}))
         return
@@ -689,18 +765,78 @@ def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEv
     events, spans = set(), closed_spans(text)
     for e in ends:
         nxt = _SPACE.match(text, e).end()
-        if 0 < e < nxt < len(text) and not any(s < e < f for s, f in spans):
-            a, b = text[e - 1], text[nxt]
-            if (a.isalnum() or a in CLOSING or unicodedata.category(a)[0] == "M") and (b.isalnum() or b in PAIRS):
-                events.add(e)
+        if 0 < e < nxt < len(text) and not any(s < e < f for s, f in spans) and _parts(text[e - 1], text[nxt]):
+            events.add(e)
     grams.add(bare, text, events, set())
 
 
+def _parts(a: str, b: str) -> bool:
+    """Whether white space between two characters is a gap of a text without marks."""
+    return (a.isalnum() or a in CLOSING or unicodedata.category(a)[0] == "M") and (b.isalnum() or b in PAIRS)
+
+
+def _count_both(text: str, found: list[tuple[int, int, int]], ends: set[int], grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> bool:
+    """Do so at once for a text of scripts that part words and have case, whose ends stand after a word in which the models agree and
+    before white space; False for another.
+
+    The two differ in the last word of each sentence, in the events and in the gaps that are none for certain; no end lies in a closed span.
+    """
+    seq, without = [_START, _S], [_START, _S]
+    pos, last = len(text) - len(text.lstrip()), len(text.rstrip())
+    for end, nxt, certain in [*found, (last, last, 0)]:
+        if certain >= 0 and end not in ends:
+            continue
+        if nxt == end < last:
+            return False
+        at = max(text.rfind(" ", pos, end), text.rfind("\n", pos, end)) + 1
+        if at:
+            try:
+                head = _LINE.join([_BLANK_GAP.join(map(shared.__getitem__, line.split(" "))) for line in text[pos : at - 1].split("\n")])
+                head += _BLANK_GAP if text[at - 1] == " " else _LINE
+                seq.append(head)
+                without.append(head)
+            except TypeError:  # other white space, or words in which they differ
+                pieces = _PIECE.findall(text, pos, at)
+                seq += map(marked.pieces[0].__getitem__, pieces)
+                without += map(bare.pieces[0].__getitem__, pieces)
+        word = plain = text[max(at, pos) : end]
+        if certain >= 0:
+            core = word.rstrip(CLOSING)
+            plain = core.rstrip(FINALS)
+            if not plain:
+                return False
+            plain += word[len(core) :]
+        of_plain = shared[plain]
+        if of_plain is None:
+            return False
+        seq.append(marked.pieces[0][word])
+        without.append(of_plain)
+        if end < last:
+            gap = _gap(text[end:nxt])
+            without.append(_bytes(gap))
+            if certain < 0:
+                seq.append(_bytes(gap + "-"))
+            else:
+                seq += (_bytes(gap), _S)
+                if _parts(plain[-1], text[nxt]):
+                    without.append(_S)
+        pos = nxt
+    seq.append(_S)
+    without.append(_S)
+    grams.put(marked, seq)
+    grams.put(bare, without)
+    return True
+
+
 def _count_words(counts: Counter, bare: bool) -> Counter:
     """Words of pieces without white space, with their counts."""
     seen: Counter[str] = Counter()
+    find = (_BARE_TOKEN if bare else _TOKEN).findall
     for piece, n in counts.items():
-        for t, _, _ in tokens(piece, bare):
+        if piece.isalpha() and not (bare and _ANY_UNSPACED.search(piece)):
+            seen[piece] += n
+            continue
+        for t in find(piece):
             if t[0].isalpha():
                 seen[t] += n
     return seen
@@ -721,6 +857,17 @@ def _models(words: dict[bool, np.ndarray], kind: type = HiddenEventModel) -> tup
     return tuple(kind(Words(words[bare], bare), BARE_ORDER if bare else ORDER, bare) for bare in (False, True))
 
 
+#: The words that a worker counted with last, and its models of them: the words that they have read serve its next task.
+_KEPT: list = [None, ()]
+
+
+def _kept_models(words: dict[bool, np.ndarray]) -> tuple[HiddenEventModel, HiddenEventModel, Shared]:
+    if _KEPT[0] is not words:
+        models = _models(words)
+        _KEPT[:] = words, (*models, Shared(*models))
+    return _KEPT[1]
+
+
 def known_words(texts: DataFrame) -> dict[bool, np.ndarray]:
     """Hashes of the words that occur WORD_LEAST times in all texts, in order, by model; of them alone the driver gets 8 bytes each."""
 
@@ -744,11 +891,32 @@ def known_words(texts: DataFrame) -> dict[bool, np.ndarray]:
     return {bare: np.sort(words[of == bare]) for bare in (False, True)}
 
 
-def gram_facts(texts: DataFrame, words) -> DataFrame:
-    """(key, a, b) of HiddenEventModel.facts, counted over all texts; words: the broadcast hashes of the words known."""
+def asked_filter(rows: DataFrame) -> np.ndarray:
+    """The filter of what the n-grams that rows ask for follow: a bit by the key, of FILTER_BITS bits at most."""
+    n = rows.agg(F.sum(F.size("keys"))).first()[0] or 0
+    bits = min(max((4 * n).bit_length(), 16), FILTER_BITS)
+
+    def run(batches):
+        held = np.zeros(1 << bits - 6, np.uint64)
+        for b in batches:
+            # the keys come in twos, an n-gram's and that of what follows
+            at = places(b.column(0).flatten().to_numpy()[1::2].view(np.uint64) ^ np.uint64(TOTAL), bits)
+            np.bitwise_or.at(held, (at >> np.uint64(6)).view(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(held[at].view(np.int64))], names=["at", "held"])
+
+    found = rows.select("keys").mapInArrow(run, "at bigint, held bigint").groupBy("at").agg(F.bit_or("held").alias("held")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    return out.view(np.uint8)
+
+
+def gram_facts(texts: DataFrame, words, asked) -> DataFrame:
+    """(key, a, b) of HiddenEventModel.facts, counted over all texts, of what was asked for and few others; words, asked: the
+    broadcast hashes of the words known and filter."""
 
     def run(batches):
-        models, grams = _models(words.value), Grams()
+        models, grams = _kept_models(words.value), Grams(asked.value)
         for b in batches:
             for t in filter(str.strip, b.column(0).to_pylist()):
                 count_text(t, grams, *models)
@@ -809,5 +977,6 @@ def split_sentences(df: DataFrame, id_col: str = "id", text_col: str = "text", e
         return pa.table([pa.array(c, t) for c, t in zip(zip(*found) if found else [()] * 5, (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()))], names=_UNITS.names)
 
     rows = cut(src.mapInArrow(ask, "block bigint, id string, text string, keys array<bigint>"), "asked")
-    facts = rows.select("block", F.explode("keys").alias("key")).join(gram_facts(texts, words), "key").select(F.col("block").alias("of"), "key", "a", "b")
+    asked = spark.sparkContext.broadcast(asked_filter(rows))
+    facts = rows.select("block", F.explode("keys").alias("key")).join(gram_facts(texts, words, asked), "key").select(F.col("block").alias("of"), "key", "a", "b")
     return rows.select("block", "id", "text").groupBy("block").cogroup(facts.groupBy("of")).applyInArrow(run, _UNITS)

@@ -129,6 +129,51 @@ def test_models_are_of_all_rows(spark):
     assert [r["text"] for r in sentences.split_sentences(spark.createDataFrame([("a", "Một")], "id string, text string")).collect()] == ["Một"]
 
 
+ODD = ["Hai  dòng\ttrắng . Rồi  \n tiếp“B” mới!“Thế à?” «Oui. Non ! » Đ.Q. ghi 8.5 ha.\n \n1. Mở đầu ... hết", "a ?\n\nb! “c. d” e. 2\n. f.", "가.나 다? 라!", "Kho 中文。abc中 d. Kho\u00a0mở. Xong", "ขอ 5 ข้อ แล้ว ไป. Kho mở."]
+
+
+def _counted(texts, asked=None):
+    """(what it follows, count) by key, of texts counted at once, and of the lattice's examples."""
+    both = []
+    for at_once in (True, False):
+        models = [sentences.HiddenEventModel({"Kho", "mở", "dòng"} | sentences.ABBREVIATIONS, sentences.BARE_ORDER if bare else sentences.ORDER, bare) for bare in (False, True)]
+        grams, shared = sentences.Grams(asked), sentences.Shared(*models)
+        for t in texts:
+            if at_once:
+                sentences.count_text(t, grams, *models, shared)
+            else:
+                for m in models:
+                    for text, ends, gaps in sentences._examples([t], m.bare):
+                        grams.add(m, text, *sentences._fixed(ends, gaps))
+        both.append({h: (g, c) for g, h, c in zip(*(x.tolist() for x in grams.take()))})
+    return both
+
+
+def test_texts_counted_at_once_are_counted_as_the_examples():
+    for t in TEXTS + ODD:
+        at_once, examples = _counted([t])
+        assert at_once == examples, t
+
+
+def test_ngrams_that_no_stretch_asks_for_are_left_out(spark):
+    """All that follows what is asked for is counted, with the same counts, and little else is held or passed on."""
+    import numpy as np
+
+    texts = TEXTS + ODD
+    every = _counted(texts)[0]
+    asking = tuple(sentences.HiddenEventModel({"Kho", "mở", "dòng"} | sentences.ABBREVIATIONS, order, bare) for order, bare in ((sentences.ORDER, False), (sentences.BARE_ORDER, True)))
+    histories = [m.keys(h, "S")[1] for m in asking for h in ((), (".",), (".", "_"), ("_",))]
+    rows = spark.createDataFrame([([sentences._signed(k) for u in histories for k in (0, u)],), ([],)], "keys array<bigint>")
+    asked = sentences.asked_filter(rows)
+    got = _counted(texts, asked)[0]
+    wanted = {u ^ sentences.TOTAL for u in histories}
+    assert {h: x for h, x in every.items() if x[0] in wanted} == {h: x for h, x in got.items() if x[0] in wanted}
+    assert len(got) < len(every) / 2 and got.items() <= every.items()
+    # a full filter counts all of them
+    assert _counted(texts, np.full(1 << 13, 255, np.uint8))[0] == every
+    assert not sentences.asked_filter(rows.limit(0)).any()
+
+
 NATURAL = ["Phòng Thủy nông giám sát hợp đồng thuê bãi đỗ xe trong vòng 30 ngày làm việc, nếu lối đi chung bị rào chắn.", "Tổ kỹ thuật ghi nhận 235 lượt báo lỗi 404 trong tháng 7, chủ yếu do liên kết cũ.", "Khi soạn biểu mẫu, cán bộ thay trường có dạng {{ten_truong}} bằng nội dung thật.", "Nhà thầu in thử sách bằng đoạn “lorem ipsum” 6 trang rồi mới đưa bản thật vào.", "Hướng dẫn tra cứu: người dùng bật JavaScript trong mục Cài đặt, sau đó đăng nhập.", "Công thức: S = {x | x > 5}, với #mục <23."]
 
 
