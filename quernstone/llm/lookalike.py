@@ -16,6 +16,7 @@ import functools
 import re
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -74,12 +75,39 @@ def _tables() -> tuple[dict[int, str], dict[int, str], re.Pattern[str]]:
     return singles, letters, re.compile(f"[{''.join(f'{re.escape(chr(a))}-{re.escape(chr(z))}' for a, z in ranges)}]")
 
 
+def _replaced(text: str, by: dict[int, str]) -> str:
+    # as text.translate(by), to which each character that isn't a key is an error that it catches
+    return text.translate({o: by.get(o, o) for o in map(ord, set(text))})
+
+
+def _form(text: str) -> str:
+    singles, letters, _ = _tables()
+    return unicodedata.normalize("NFC", _replaced(unicodedata.normalize("NFD", _replaced(text, singles)), letters))
+
+
 def skeleton(text: str) -> str:
     """The one form of all texts that look like this one."""
-    singles, letters, changing = _tables()
-    if not changing.search(text):
-        return text
-    return unicodedata.normalize("NFC", unicodedata.normalize("NFD", text.translate(singles)).translate(letters))
+    return _form(text) if _tables()[2].search(text) else text
+
+
+@functools.cache
+def _may_change() -> np.ndarray:
+    """Whether each code point may change."""
+    out, changing = np.zeros(0x110000, bool), _tables()[2]
+    out[[cp for cp in (*_RANGE, *range(0xE0000, 0xE1000)) if changing.match(chr(cp))]] = True
+    return out
+
+
+def skeletons(texts: list[str]) -> list[str]:
+    """skeleton of each text; the characters of all are looked up at once."""
+    if not texts:
+        return []
+    cp = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    out = list(texts)
+    for i in np.flatnonzero(np.logical_or.reduceat(_may_change()[cp], starts)):
+        out[i] = _form(texts[i])
+    return out
 
 
 @F.arrow_udf(T.StringType())

@@ -15,17 +15,19 @@ mark of omission; characters that don't show, and a dash or bullet alone at the
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quernstone.llm.lookalike import skeleton
+from quernstone.llm.lookalike import skeleton, skeletons
 from quernstone.runtime import cut
 
 HASHED = 1 << 14
@@ -53,6 +55,8 @@ HELD_KEYS = 2_000_000
 FINAL, CLOSERS, PAUSES = ".!?。！？।॥｡．", "\"'”’»)]）」』》〉", ",;:,，；：、-–—"
 # What stands where the rest of a text is left out.
 _OMISSION = re.compile(r"(?:\[\s*(?:\.{2,}|…)\s*\]|\(\s*(?:\.{2,}|…)\s*\)|[\[(（]?(?:còn nữa|còn tiếp|to be continued|continued|à suivre|продолжение следует|未完待续|未完)[\])）]?|\.{2,}|…|�)+\s*$", re.I)
+#: The last characters of these.
+_OMISSION_END = re.compile("[\\])）apdeт续完.…�]", re.I)
 _FIELD = re.compile(r"^\s*[^:\n]{2,40}:\s*\S[^:\n]*$|[;|\t]\s*[^:;|\t\n]{2,40}:\s*[^;|\t\n]+$")
 _PAGE = re.compile(r"^\W*(?:(?:trang|page|seite|стр|tr|pg|p)\.?\s*)?\d{1,4}(?:\s*[/|]\s*\d{1,4})?\W*$", re.I)
 #: A running line: a page number after a gap at its end.
@@ -70,7 +74,10 @@ _DIGITS = re.compile(r"\d+")
 
 def settled(text: str) -> str:
     """The text with one form for what looks the same, single blanks, and no dash or bullet alone at its end."""
-    t = skeleton(text)
+    return _settled(skeleton(text))
+
+
+def _settled(t: str) -> str:
     if "\r" in t:
         t = t.replace("\r\n", "\n").replace("\r", "\n")
     if "  " in t or _ODD_SPACE.search(t):
@@ -120,7 +127,9 @@ class Words:
         cp = np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
         k = kind[cp]
         word = k == 1
-        first = np.flatnonzero(word[1:] & ~word[:-1]) + 1
+        begins = np.zeros(len(word), bool)
+        begins[1:] = word[1:] & ~word[:-1]
+        first = np.flatnonzero(begins)
         last = np.flatnonzero(word[:-1] & ~word[1:])
         self.first, self.last, self.n = first, last, len(first)
         self.text_starts = np.cumsum([1] + [len(t) + 1 for t in texts])
@@ -130,9 +139,9 @@ class Words:
             self.adjacent = self.stops = self.capital = self.worded = self.marked = np.zeros(0, bool)
             self.text = self.line_ends = np.zeros(0, np.int64)
             return
-        of = np.cumsum(np.isin(at, first, assume_unique=True)) - 1
+        own = begins[at]
+        of, begin = np.cumsum(own) - 1, np.flatnonzero(own)
         sym = low[cp[at]].astype(np.uint64)
-        begin = np.searchsorted(at, first)
         h = _mix(np.add.reduceat(sym * _POWERS[(at - first[of]) & 511], begin), 33, 0xFF51AFD7ED558CCD)
         self.hash = h.view(np.int64)
         self.adjacent = np.zeros(self.n, bool)
@@ -184,40 +193,65 @@ class Counts:
     """Counts by key: (occurrences, before a mark or unmarked, at the end of a value), summed up as they come."""
 
     def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
         self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.added: tuple[list[np.ndarray], ...] = ([], [], [])
         self.size = 0
 
     def add(self, keys: np.ndarray, column: int) -> None:
         if len(keys):
-            n = np.zeros((len(keys), 3), np.int32)
-            n[:, column] = 1
-            self._push(keys, n)
-
-    def _push(self, keys: np.ndarray, n: np.ndarray) -> None:
-        self.parts.append((keys, n))
-        self.size += len(keys)
-        if self.size > 2 * HELD_KEYS and len(self.parts) > 1:
-            keys, n = self.summed()
-            self.parts, self.size = [(keys, n)], len(keys)
+            self.added[column].append(keys)
+            self.size += len(keys)
+            if self.size > 2 * HELD_KEYS:
+                keys, n = self.summed()
+                self.clear()
+                self.parts, self.size = [(keys, n)], len(keys)
 
     def summed(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.parts:
+        parts = list(self.parts)
+        for column, added in enumerate(self.added):
+            if added:
+                # keys are sorted by themselves, a column at a time, and only the different ones with their counts
+                keys = np.sort(np.concatenate(added))
+                starts = _runs(keys)
+                n = np.zeros((len(starts), 3), np.int32)
+                n[:, column] = np.diff(starts, append=len(keys))
+                parts.append((keys[starts], n))
+        if not parts:
             return np.zeros(0, np.int64), np.zeros((0, 3), np.int32)
-        keys, n = np.concatenate([p[0] for p in self.parts]), np.concatenate([p[1] for p in self.parts])
-        order = np.argsort(keys, kind="stable")
+        if len(parts) == 1:
+            return parts[0]
+        keys, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        order = np.argsort(keys)
         keys, n = keys[order], n[order]
-        starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[starts], np.add.reduceat(n, starts, axis=0) if len(starts) else n
+        starts = _runs(keys)
+        return keys[starts], np.add.reduceat(n, starts, axis=0)
+
+
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys starts."""
+    return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+
+
+def _omission(t: str) -> re.Match[str] | None:
+    """The mark of omission at a text's end."""
+    end = t.rstrip()[-2:]
+    # most texts end in a single point, or in a letter, digit or mark that no mark of omission ends in
+    if end[-1:] == "." and end != ".." or not _OMISSION_END.match(end[-1:]):
+        return None
+    return _OMISSION.search(t, max(0, len(t) - 60))
 
 
 def without_omission(t: str) -> str:
-    m = _OMISSION.search(t, max(0, len(t) - 60))
+    m = _omission(t)
     return t[: m.start()].rstrip() if m else t
 
 
 def is_open(text: str) -> bool:
     """Whether no final mark closes a settled text, or a mark of omission or a broken character stands at its end."""
-    if _OMISSION.search(text, max(0, len(text) - 60)):
+    if _omission(text):
         return True
     inner = text.rstrip(CLOSERS)
     return not inner or inner[-1] not in FINAL
@@ -235,7 +269,7 @@ def describe(t: str, raw: str) -> tuple[list[float], list[int], str]:
     inner = core.rstrip(CLOSERS)
     mark = bool(inner) and inner[-1] in FINAL
     line = core.rsplit("\n", 1)[-1]
-    letters = [c for c in line if c.isalpha()]
+    lettered = sum(1 for _ in itertools.islice(filter(str.isalpha, line), 4)) > 3
     d[7] = mark
     d[8] = end in CLOSERS and mark
     d[9] = end in PAUSES
@@ -245,7 +279,7 @@ def describe(t: str, raw: str) -> tuple[list[float], list[int], str]:
     d[13] = end in CLOSERS and not mark
     d[FIELD] = bool(_FIELD.search(line))
     d[PAGE] = bool(_PAGE.match(line))
-    d[CAPITALS] = len(letters) > 3 and all(c == c.upper() for c in letters)
+    d[CAPITALS] = lettered and all(c == c.upper() for c in filter(str.isalpha, line))
     d[19] = float(np.log1p(len(line))) / 5
     d[20] = bool(_ITEM.match(line))
     d[21] = "\n" in core
@@ -254,7 +288,7 @@ def describe(t: str, raw: str) -> tuple[list[float], list[int], str]:
     d[23] = script in ("CJK", "HIRAGANA", "KATAKANA", "HANGUL", "DEVANAGARI")
     d[24] = end.isupper()
     d[25] = len(core.rsplit(" ", 1)[-1]) == 1
-    d[HEADED] = bool(_HEADING.match(line)) or len(letters) > 3 and line[:1].isupper() and not mark and len(line) < 70
+    d[HEADED] = bool(_HEADING.match(line)) or lettered and line[:1].isupper() and not mark and len(line) < 70
     d[29] = 1
     d[RUNNING] = bool(_RUNNING.search(raw))
     d[30] = "…" in core.rsplit(". ", 1)[-1].rsplit("\n", 1)[-1]
@@ -330,12 +364,12 @@ def observe(batches, shares: dict[str, float]):
         for a in range(0, len(keys), 100_000):
             k = keys[a : a + 100_000]
             yield _batch(len(k), what=np.full(len(k), COUNTED, np.int8), key=k, **{c: n[a : a + 100_000, i] for i, c in enumerate("nse")})
-        counts.parts, counts.size = [], 0
+        counts.clear()
 
     for b in batches:
         tables, ids, raws, docs, pages, offs = (b.column(i).to_pylist() for i in range(6))
         for x, y in _blocks(raws):
-            texts = [settled(t) for t in raws[x:y]]
+            texts = [_settled(t) for t in skeletons(raws[x:y])]
             w = Words(texts)
             lasts = w.last_of_text(len(texts))
             opens = np.array([bool(t) and is_open(t) for t in texts])
@@ -359,7 +393,7 @@ def observe(batches, shares: dict[str, float]):
                 chosen = xxhash.xxh3_64_intdigest(str(rec).encode("utf-8", "surrogatepass")) < shares.get(tbl, 0.0) * 2**64
                 if opens[i]:
                     raw = raws[x + i]
-                    rows.append((t, skeleton(raw[-400:]).rstrip().rsplit("\n", 1)[-1], tbl, rec, len(raw), len(raw.encode("utf-8", "surrogatepass")), OPEN_WEIGHT if chosen else None, None, None, docs[x + i]))
+                    rows.append((t, _last_line(raw) if t[-1].isdigit() else "", tbl, rec, len(raw), len(raw.encode("utf-8", "surrogatepass")), OPEN_WEIGHT if chosen else None, None, None, docs[x + i]))
                 if chosen:
                     rng = np.random.default_rng(hash_text(f"{tbl}\0{rec}"))
                     rows += [(piece, piece, tbl, rec, None, None, weight, label, limit, None) for piece, label, weight, limit in artificial(t, rng)]
@@ -373,6 +407,11 @@ def observe(batches, shares: dict[str, float]):
     yield from counted()
 
 
+def _last_line(raw: str) -> str:
+    """The last line of a text as it stands. It is looked at for a page number alone: without a digit at the end there is none."""
+    return skeleton(raw[-400:]).rstrip().rsplit("\n", 1)[-1]
+
+
 def _ends(rows: list[tuple]) -> pa.RecordBatch:
     texts = [r[0] for r in rows]
     seen = [describe(r[0], r[1]) for r in rows]
@@ -565,16 +604,20 @@ def fit(dense: np.ndarray, hashed: np.ndarray, labels: np.ndarray, weights: np.n
 def _arrays(table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(dense with the limit's flag, tails, counts of the own keys, counts of the joining keys, last words' hashes) of ends."""
     n = table.num_rows
-    dense = np.array(table.column("dense").to_pylist(), np.float64).reshape(n, DENSE)
-    tails = np.array(table.column("tails").to_pylist(), np.int64).reshape(n, 2)
+    column = lambda c: x.combine_chunks() if isinstance(x := table.column(c), pa.ChunkedArray) else x
+    numbers = lambda x, kind: x.to_numpy(zero_copy_only=False).astype(kind)
+    dense = numbers(column("dense").flatten(), np.float64).reshape(n, DENSE)
+    tails = numbers(column("tails").flatten(), np.int64).reshape(n, 2)
     counts = np.zeros((n, 7, 3))
-    for i, found in enumerate(table.column("counts").to_pylist()):
-        for x in found or ():
-            counts[i, x["at"]] = x["n"], x["s"], x["e"]
-    keys = table.column("keys").to_pylist()
-    dense[:, 6] = [len(k) > 1 and k[1] is not None for k in keys]
-    dense[:, AT_LIMIT] = np.array(table.column("at_limit").to_pylist(), np.float64)
-    words = np.array([(k[0] or 0) & 0x7FFFFFFF for k in keys], np.int64)
+    found = column("counts")
+    if len(each := found.flatten()):
+        row, at = numbers(pc.list_parent_indices(found), np.int64), numbers(each.field("at"), np.int64)
+        for i, c in enumerate("nse"):
+            counts[row, at, i] = numbers(each.field(c), np.float64)
+    keys = column("keys")
+    dense[:, 6] = numbers(pc.list_element(keys, 1).is_valid(), np.float64)
+    dense[:, AT_LIMIT] = numbers(column("at_limit"), np.float64)
+    words = numbers(pc.list_element(keys, 0).fill_null(0), np.int64) & 0x7FFFFFFF
     return dense, tails, counts[:, :4], counts[:, 4:], words
 
 

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import pytest
 
@@ -234,6 +235,58 @@ def test_settled_ends():
     assert a == b != c
 
 
+def test_whole_values_are_not_searched_for_omissions_and_lookalikes(monkeypatch):
+    import pyarrow as pa
+
+    tried = []
+
+    class Tried:
+        def search(self, text, *_):
+            tried.append(text)
+
+    monkeypatch.setattr(truncation, "_OMISSION", Tried())
+    monkeypatch.setattr(truncation, "skeleton", lambda t: tried.append(t) or t)
+    texts = ["Phòng Hộ tịch giám sát hợp đồng trong 30 ngày.", "Bản đồ ngập, xem mục", "(The flood map was reviewed.)\nArticle 5"]
+    n = len(texts)
+    batch = pa.record_batch({"tbl": ["chunks"] * n, "rec_id": list("abc"), "text": texts, "document_id": ["d"] * n, "page": [1] * n, "off": [0, 1, 2]})
+    seen = [r for b in truncation.observe([batch], {}) for r in b.to_pylist()]
+    assert [r["rec_id"] for r in seen if r["what"] == truncation.END] == ["b", "c"] and [r["rec_id"] for r in seen if r["what"] == truncation.HEAD] == list("abc")
+    # of them all, only the line that ends in a digit, which may be a running line's page number
+    assert tried == [texts[2]]
+
+
+def test_ends_and_forms_are_as_their_patterns_say():
+    from quernstone.llm import lookalike
+
+    stems = ["", ".", "..", "a [..", "(…", "còn nữ", "còn tiế", "to be continue", "à suivr", "продолжение следуе", "未完待", "未"]
+    for stem in stems:
+        for cp in (*range(0xD800), *range(0xE000, 0x10000), 0x1F600):
+            t = stem + chr(cp)
+            if truncation._OMISSION.search(t):
+                assert truncation._omission(t) and truncation._omission(t + " \n"), t
+    assert not truncation._omission("Hết.") and not truncation._omission("") and not truncation._omission(" . .")
+    chars = [chr(cp) for cp in (*range(0x20000), *range(0xE0000, 0xE1000))]
+    old = lambda t: unicodedata.normalize("NFC", unicodedata.normalize("NFD", t.translate(lookalike._tables()[0])).translate(lookalike._tables()[1]))
+    assert lookalike.skeletons(chars) == [lookalike.skeleton(c) for c in chars] == [old(c) if lookalike._tables()[2].search(c) else c for c in chars]
+    texts = ["", "plain", "Тhе flооd\u200b map", "", "e\u0301\u0323 ｆｕｌｌ", "\ud800 lone"]
+    assert lookalike.skeletons(texts) == [lookalike.skeleton(t) for t in texts] and lookalike.skeletons([]) == [] and lookalike.skeletons([""]) == [""]
+
+
+def test_counts_are_exact_however_often_they_are_summed(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(truncation, "HELD_KEYS", 40)
+    rng, counts, expected = np.random.default_rng(3), truncation.Counts(), {}
+    assert [len(x) for x in counts.summed()] == [0, 0]
+    for k in range(60):
+        keys = rng.integers(-30, 30, int(rng.integers(0, 25))) * (1 << 57)
+        counts.add(keys, k % 3)
+        for key in keys.tolist():
+            expected.setdefault(key, [0, 0, 0])[k % 3] += 1
+    keys, n = counts.summed()
+    assert len(set(keys.tolist())) == len(keys) and dict(zip(keys.tolist(), n.tolist())) == expected
+
+
 def test_truncation_on_held_out_cuts():
     import numpy as np
 
