@@ -2,8 +2,10 @@
 
 Texts are reduced to their set of words; equal sets are compared once. The words of a set are ordered, frequent ones last. Two
 sets of the threshold's similarity share one of their first words, so many that fewer than the threshold's share are left, and so
-sets meet under each of those. Where they meet, their sizes and the parities of their words in 128 places are compared: as many
-parities differ at most as words do. No similar pair fails that; what passes is decided exactly on the sets.
+sets meet under each of those. The place of their first common word in each bounds how many words they may share, and so the sizes
+of the sets that each may be similar to from there: sets are compared where both sizes keep to that. Then the parities of their
+words in 128 places are compared: as many parities differ at most as words do. No similar pair fails that; what passes is decided
+exactly on the sets.
 
 Sets that meet under a word of more than BUCKET are compared by blocks of at most BLOCK, all with all.
 
@@ -31,6 +33,8 @@ BANDS, ROWS = 30, 4
 MARGIN = 0.235
 #: Sets under one word that are compared by a join; more are compared by blocks of at most BLOCK.
 BUCKET, BLOCK = 2_000, 100_000
+#: Sets that 32 others are compared with at once.
+TILE = 2_048
 #: The most frequent words that are ordered by frequency; others come before them. The order decides the work, not the pairs.
 RANKED = 65_536
 _WORD = re.compile(r"[^\W_]+")
@@ -135,43 +139,60 @@ def signatures(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return sets.where(F.size("words") > 0).select("set_id", "words").mapInArrow(run, "set_id bigint, size int, low bigint, high bigint, keys array<bigint>")
 
 
+def reach(size, at, threshold: float):
+    """The largest set that one of this size may be similar to whose first word in common is its word number at."""
+    return ((size - at) * ((1 + threshold) / threshold) - size + 1e-6) // 1
+
+
 def near_in_block(table: pa.Table, threshold: float) -> pa.Table:
-    """(a, b), a < b, of the sets of one key that differ in few enough parities; of two blocks (own, x, y), those between them."""
-    size = table.column("size").to_numpy().astype(np.int64)
-    order = np.argsort(size, kind="stable")
-    size, ids = size[order], table.column("set_id").to_numpy()[order]
+    """(a, b), a < b, of the sets of one key that reach each other and differ in few enough parities; of two blocks (own, x, y),
+    those between them."""
+    size, most = (table.column(c).to_numpy().astype(np.int64) for c in ("size", "reach"))
+    order = np.lexsort((most, size))
+    size, most, ids = size[order], most[order], table.column("set_id").to_numpy()[order]
     low, high = (table.column(c).to_numpy()[order].view(np.uint64) for c in ("low", "high"))
     own = table.column("own").to_numpy()[order]
     between = bool(len(own)) and table.column("x")[0].as_py() != table.column("y")[0].as_py()
-    most, found = most_different(np.arange(2 * int(size[-1]) + 1 if len(size) else 1), threshold).astype(np.int64), []
-    for start in range(0, len(ids), 64):
-        end = min(start + 64, len(ids))
-        # sets from here on, up to the largest that the largest of these may be similar to
-        stop = int(np.searchsorted(size, size[end - 1] / threshold + 1e-6, "right"))
-        i, j = np.nonzero(np.bitwise_count(low[start:end, None] ^ low[None, start:stop]) <= most[size[end - 1] + size[start:stop]][None])
-        i, j = i + start, j + start
-        near = (i < j) & (np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j]) <= most[size[i] + size[j]])
-        if between:
-            near &= own[i] != own[j]
-        found.append(np.stack([ids[i[near]], ids[j[near]]]))
+    limit, found = np.minimum(most_different(np.arange(2 * int(size[-1]) + 1 if len(size) else 1), threshold), 128).astype(np.uint8), []
+    # of two sets the smaller one reaches its own size at least, as the larger one has that
+    inner = np.flatnonzero(most >= size)
+    xor, bits, more = np.empty(TILE * 32, np.uint64), np.empty(TILE * 32, np.uint8), np.empty(TILE * 32, np.uint8)
+    for start in range(0, len(inner), 32):
+        rows = inner[start : start + 32]
+        # sets of their size on, up to the largest that they reach, that reach the smallest of them
+        stop = int(np.searchsorted(size, most[rows].max(), "right"))
+        others = rows[0] + np.flatnonzero(most[rows[0] : stop] >= size[rows[0]])
+        for at in range(0, len(others), TILE):
+            cols = others[at : at + TILE]
+            shape, n = (len(rows), len(cols)), len(rows) * len(cols)
+            x, u, v = xor[:n].reshape(shape), bits[:n].reshape(shape), more[:n].reshape(shape)
+            np.bitwise_count(np.bitwise_xor(low[rows, None], low[cols][None], out=x), out=u)
+            np.bitwise_count(np.bitwise_xor(high[rows, None], high[cols][None], out=x), out=v)
+            u += v
+            k = np.flatnonzero((u <= limit[size[rows[-1]] + size[cols]][None]).ravel())
+            i, j = rows[k // len(cols)], cols[k % len(cols)]
+            near = (i < j) & (u.ravel()[k] <= limit[size[i] + size[j]]) & (size[j] <= most[i]) & (size[i] <= most[j])
+            if between:
+                near &= own[i] != own[j]
+            found.append(np.stack([ids[i[near]], ids[j[near]]]))
     pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
     return pa.table({"a": pairs.min(axis=0), "b": pairs.max(axis=0)})
 
 
 def proposed(signed: DataFrame, threshold: float, bucket: int = BUCKET, block: int = BLOCK) -> DataFrame:
     """(a, b), a < b, each once: all sets of at least the threshold's similarity, and some of less."""
-    rows = signed.select("set_id", "size", "low", "high", F.explode("keys").alias("key"))
+    rows = signed.select("set_id", "size", "low", "high", F.posexplode("keys").alias("at", "key")).withColumn("reach", F.floor((F.col("size") - F.col("at")) * ((1 + threshold) / threshold) - F.col("size") + 1e-6).cast("int")).drop("at")
     full = cut(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > bucket), "full")
     few = rows.join(full, "key", "left_anti")
     x, y = few.alias("x"), few.alias("y")
     differ = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
     both = F.col("x.size") + F.col("y.size")
-    near = (differ <= F.floor(both * ((1 - threshold) / (1 + threshold)) + 1e-6)) & (F.least("x.size", "y.size") + 1e-6 >= threshold * F.greatest("x.size", "y.size"))
+    near = (F.col("x.size") <= F.col("y.reach")) & (F.col("y.size") <= F.col("x.reach")) & (differ <= F.floor(both * ((1 - threshold) / (1 + threshold)) + 1e-6))
     joined = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.set_id") < F.col("y.set_id")) & near).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
     # every two blocks of a key's sets meet, and each block itself
     blocks = F.ceil(F.col("n") / block).cast("int")
     held = rows.join(full, "key").withColumn("own", F.pmod(F.xxhash64("set_id"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    held = held.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "set_id", "size", "low", "high")
+    held = held.select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", "set_id", "size", "reach", "low", "high")
     met = held.groupBy("key", "x", "y").applyInArrow(lambda table: near_in_block(table, threshold), "a bigint, b bigint")
     return joined.unionByName(met).distinct()
 

@@ -133,6 +133,19 @@ def test_every_similar_pair_is_proposed(spark):
     assert want <= blocks == {(r["a"], r["b"]) for r in near_dup.proposed(signed, 0.7, bucket=5).collect()} and len(want) > 200
 
 
+def test_sets_meet_only_where_their_first_common_word_allows_it(spark):
+    """Sets of 20 words are similar from 17 common ones on, so their first common word is one of the first four of both."""
+    import pyarrow as pa
+
+    assert [int(near_dup.reach(20, at, 0.7)) for at in (0, 3, 4, 6)] == [28, 21, 18, 14]
+    for at, want in ((3, 1), (4, 0)):
+        table = pa.table({"set_id": [1, 2], "size": [20, 20], "reach": [int(near_dup.reach(20, at, 0.7))] * 2, "low": [0, 0], "high": [0, 0], "own": [0, 0], "x": [0, 0], "y": [0, 0]})
+        assert near_dup.near_in_block(table, 0.7).num_rows == want
+        rows = [(i, 20, 0, 0, [100 * i + k for k in range(at)] + [7]) for i in (1, 2)]
+        signed = spark.createDataFrame(rows, "set_id bigint, size int, low bigint, high bigint, keys array<bigint>")
+        assert [near_dup.proposed(signed, 0.7, bucket=bucket).count() for bucket in (0, 2_000)] == [want, want]
+
+
 def test_estimate_is_near_the_similarity():
     import numpy as np
 
