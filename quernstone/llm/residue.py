@@ -74,8 +74,9 @@ PLAIN_FORMS = ["{{%s}}", "{{ %s }}", "${%s}", "#{%s}", "[[%s]]", "<%%= %s %%>",
 ASKING_FORMS = ["[insert %s here]", "[enter %s]", "[your %s]", "[điền %s]", "[nhập %s]", "[chèn %s]", "[ghi %s]", "[insérer %s]", "[вставить %s]"]
 ASKED = ["your name", "tên cơ quan", "ngày tháng", "title", "customer_name", "orderDate", "FIRST_NAME"]
 
-#: Where a placeholder may begin and end; what lies between is judged by the model.
-_BRACKETED = re.compile(r"\{\{[^{}\n]{1,60}\}\}|[$#]\{[^{}\n]{1,60}\}|\{%[^{}\n]{1,60}%\}|\{[^{}\n]{1,60}\}|\[\[[^\[\]\n]{1,60}\]\]|\[[^\[\]\n]{1,60}\]|<%[^<>\n]{1,60}%>|<[^<>\n]{1,60}>|«[^«»\n]{1,60}»|%\([^()\n]{1,60}\)s|(?<![\w%])%[^\W\d][\w.]{1,60}%(?!\w)|(?<![\w$])\$[^\W\d][\w.]{1,60}\$(?!\w)|@@[^@\s]{1,60}@@|(?<!\w)__(?!_)\w{1,60}?__(?!\w)")
+#: Where a placeholder may begin and end; what lies between is judged by the model. Each form starts with a mark itself, and looks
+#: back past it, as only then are the marks alone looked for in a text.
+_BRACKETED = re.compile(r"\{\{[^{}\n]{1,60}\}\}|\$\{[^{}\n]{1,60}\}|#\{[^{}\n]{1,60}\}|\{%[^{}\n]{1,60}%\}|\{[^{}\n]{1,60}\}|\[\[[^\[\]\n]{1,60}\]\]|\[[^\[\]\n]{1,60}\]|<%[^<>\n]{1,60}%>|<[^<>\n]{1,60}>|«[^«»\n]{1,60}»|%\([^()\n]{1,60}\)s|%(?<![\w%]%)[^\W\d][\w.]{1,60}%(?!\w)|\$(?<![\w$]\$)[^\W\d][\w.]{1,60}\$(?!\w)|@@[^@\s]{1,60}@@|__(?<!\w__)(?!_)\w{1,60}?__(?!\w)")
 _OPENING = "{[<«%$@_"
 #: Words before a placeholder, or marks around it, that make it a thing spoken about.
 _NAMED = re.compile(r"(?:có dạng|dạng|cú pháp|ký hiệu|ví dụ|chẳng hạn|gọi là|mang tên|of the form|such as|like|e\.g\.|for example|par exemple|например|例如|[“\"‘'`「（(])\s*[:“\"‘'`「]?\s*$", re.I)
@@ -205,10 +206,9 @@ def natural_counts(texts: list[str]) -> np.ndarray:
 def found_counts(texts: list[str], model: np.ndarray) -> np.ndarray:
     """(3 * orders, BUCKETS) counts of n-grams in filler and in notices that the model finds, and of those among prose."""
     held: tuple[list[str], list[str]] = ([], [])
-    for t, spans in zip(texts, find_residue(texts, model, LEARNT_COVERAGE)):
+    for t, spans in zip(texts, find_residue(texts, model, LEARNT_COVERAGE, placeholders=False)):
         for s, e, kind in spans:
-            if kind != "placeholder":
-                held[kind == "notice"].append(t[s:e])
+            held[kind == "notice"].append(t[s:e])
     out = np.zeros((3 * len(ORDERS), BUCKETS), np.int64)
     for k, lines in enumerate(held):
         if lines:
@@ -280,8 +280,8 @@ def _covered(ratio: np.ndarray, width: int, mark: float) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def find_residue(texts: list[str], model: np.ndarray, coverage: float = COVERAGE) -> list[list[tuple[int, int, str]]]:
-    """(start, end, kind) of the residue in each text, in code points; kind is filler, notice or placeholder."""
+def find_residue(texts: list[str], model: np.ndarray, coverage: float = COVERAGE, placeholders: bool = True) -> list[list[tuple[int, int, str]]]:
+    """(start, end, kind) of the residue in each text, in code points; kind is filler, notice or, where they are asked for, placeholder."""
     sym, where, begins = symbols(texts)
     by_order = [grams(sym, n) for n in ORDERS]
     ratios = [np.mean([np.clip(model[k * len(ORDERS) + j][g], -4, 6) for j, g in enumerate(by_order)], axis=0) for k in range(2)]
@@ -334,7 +334,7 @@ def find_residue(texts: list[str], model: np.ndarray, coverage: float = COVERAGE
             edges = np.flatnonzero(np.diff(np.concatenate([[0], cover[x : y + 1].astype(np.int8), [0]])))
             got = [(*span(x + int(u), min(x + int(v), y), i), kind_of(x + u, x + v)) for u, v in zip(edges[::2], edges[1::2]) if v - u >= LONG_RUN]
         found[i] += got
-    if any(c in t for t in texts for c in _OPENING):
+    if placeholders and any(c in t for t in texts for c in _OPENING):
         _find_placeholders(texts, model[-1], found)
     return found
 

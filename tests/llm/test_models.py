@@ -404,3 +404,23 @@ def test_running_lines_further_in(spark):
     rows = [(f"a{k}", "a", k, 0, "\n".join([*heads, f"Trang này nói về {w} và {w} khác.", f"Người dân {w} đã góp ý.", f"Đoạn nữa về {w} ở đây.", f"Hết phần {w}."])) for k, w in enumerate(words)]
     got = sorted((r["chunk_id"], r["line_no"], r["fault"]) for r in scan_repair.scan_faults(spark.createDataFrame(rows, "id string, document_id string, page int, offset int, text string")).collect())
     assert got == sorted((f"a{k}", n, "running") for k in range(6) for n in range(4))
+
+
+def test_brackets_are_looked_for_by_their_marks():
+    import re
+    import time
+
+    text = "Điều khoản về đất ở đô thị " * 20_000
+    plain = re.compile("[{<　-鿿]")
+
+    def seconds(pattern):
+        return min((t := time.process_time(), pattern.search(text), time.process_time() - t)[2] for _ in range(3))
+
+    assert not residue._BRACKETED.search(text) and seconds(residue._BRACKETED) < 4 * seconds(plain)
+    found = lambda t: [m.group() for m in residue._BRACKETED.finditer(t)]
+    assert found("%ten_a% 5%ten_a% %%ten_a% $gia_x$ a$gia_x$ $$gia_x$ __nam__ a__nam__ ___nam__") == ["%ten_a%", "$gia_x$", "__nam__"]
+    assert found("#{so} ${so} {{so}} {%so%} {so} [[so]] [so] <%so%> <so> «so» %(so)s @@so@@") == ["#{so}", "${so}", "{{so}}", "{%so%}", "{so}", "[[so]]", "[so]", "<%so%>", "<so>", "«so»", "%(so)s", "@@so@@"]
+    texts = ["Kính gửi {{customer_name}}, mời đến."] * 3
+    model = residue.fit(residue.natural_counts(["Một đoạn văn bản bình thường về đất đai của xã, dài hơn sáu mươi ký tự cho chắc."] * 50))
+    assert all(kind == "placeholder" for spans in residue.find_residue(texts, model) for *_, kind in spans) and any(residue.find_residue(texts, model))
+    assert not any(residue.find_residue(texts, model, placeholders=False))
