@@ -36,7 +36,7 @@ TOP, BOTTOM, MIN_PAGES = 2, 3, 3
 ROUNDS, BLOCK_LINES = 3, 100_000
 #: A corrected word must occur so often, and so many times more often than the word as it stands.
 WORD_LEAST, WORD_RATIO = 4, 8
-#: Different words that a task holds before it passes their counts on.
+#: Different pieces of text that a task holds before it passes the counts of their words on.
 HELD_WORDS = 1_000_000
 
 # Characters that recognition confuses with letters, each with what it may stand for.
@@ -117,18 +117,28 @@ def splits(line: str, following: str) -> tuple[str, str, str] | None:
     return m.group(1), m.group(2), rest.group()
 
 
-def edge_line(line: str) -> tuple[int, int]:
-    """(flag, key) of a line; flag: 2 for a page number, 1 for a line with one, else 0. The key is what a running line has in
-    common on all pages, however it is recognised: it lacks the page number at its start or end, and is folded."""
+def edge_line(line: str, form: str) -> tuple[int, int]:
+    """(flag, key) of a line and its folded form; flag: 2 for a page number, 1 for a line with one, else 0. The key is what a running
+    line has in common on all pages, however it is recognised: it lacks the page number at its start or end, and is folded."""
     bare = line.strip()
     flag = 2 if len(bare) < 24 and _PAGE_NO.match(bare) else 1 if (bare[0].isdigit() or bare[-1].isdigit()) and _EDGE_NUMBER.search(line) else 0
-    core = _EDGE_NUMBER.sub("", line, count=1) if flag else line
-    return flag, _hash(" ".join(core.translate(_fold_map()).split()))
+    if flag and (number := _EDGE_NUMBER.search(line)):
+        form = form[: number.start()] + form[number.end() :]
+    return flag, _hash(" ".join(form.split()))
 
 
 @functools.cache
-def _fold_map() -> dict[int, str]:
-    return {ord(x): y for x, y in zip(*_fold_tables())}
+def _fold_table() -> np.ndarray:
+    """Code point -> what it folds to."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    for x, y in zip(*_fold_tables()):
+        table[ord(x)] = ord(y)
+    return table
+
+
+def folded_text(text: str) -> str:
+    """The text with every character folded to another, so that its lines and places stay."""
+    return _fold_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)].tobytes().decode("utf-32-le", "surrogatepass")
 
 
 def _hash(s: str) -> int:
@@ -160,32 +170,48 @@ def _batch(n_rows: int, /, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, names=_SEEN.names)
 
 
+def word_counts(pieces: Counter) -> Counter:
+    """Counts of the words in lower case, and of the hyphenated compounds, of pieces of text without white space, with theirs."""
+    counts: Counter[str] = Counter()
+    for piece, n in pieces.items():
+        low = piece.lower()
+        if low.isalpha():
+            counts[low] += n
+            continue
+        for w in _WORD.findall(low):
+            counts[w] += n
+        if "-" in low or "‐" in low or "‑" in low:
+            for x, y in _COMPOUND.findall(low):
+                counts[f"{x}-{y}"] += n
+    return counts
+
+
 def observe(batches):
     """Of batches (chunk_id, text): counts of words and of hyphenated compounds inside lines; each chunk's lines; and its words
     with confused characters and words that may be split."""
-    counts: Counter[str] = Counter()
+    pieces: Counter[str] = Counter()
 
     def counted():
+        counts = word_counts(pieces)
         words = list(counts)
         for a in range(0, len(words), 100_000):
             part = words[a : a + 100_000]
             yield _batch(len(part), word=part, n=[counts[w] for w in part])
-        counts.clear()
+        pieces.clear()
 
     for b in batches:
         pages: dict[str, list] = {c: [] for c in ("chunk_id", "content", "line_nos", "layout", "flags", "keys")}
         doubts: dict[str, list] = {c: [] for c in ("chunk_id", "line_no", "token", "part", "mark", "rest")}
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            low = t.lower()
-            counts.update(_WORD.findall(low))
-            if "-" in low or "‐" in low or "‑" in low:
-                counts.update(f"{x}-{y}" for w in low.split() if "-" in w or "‐" in w or "‑" in w for x, y in _COMPOUND.findall(w))
+            parts = t.split()
+            pieces.update(parts)
             lines = t.split("\n")
             held = [n for n, x in enumerate(lines) if x and not x.isspace()]
             if not held:
                 continue
-            edges = [edge_line(lines[n]) for n in held]
-            for c, v in zip(pages, (i, _hash(" ".join(t.split())), held, layouts(lines, held), [f for f, _ in edges], [k for _, k in edges])):
+            forms = folded_text(t).split("\n")
+            edges = [edge_line(lines[n], forms[n]) for n in held]
+            for c, v in zip(pages, (i, _hash(" ".join(parts)), held, layouts(lines, held), [f for f, _ in edges], [k for _, k in edges])):
                 pages[c].append(v)
             found: list[tuple] = []
             if any(m in t for m in SPLIT_MARKS):
@@ -199,7 +225,7 @@ def observe(batches):
             yield _batch(len(pages["chunk_id"]), **pages)
         if doubts["chunk_id"]:
             yield _batch(len(doubts["chunk_id"]), **doubts)
-        if len(counts) > HELD_WORDS:
+        if len(pieces) > HELD_WORDS:
             yield from counted()
     yield from counted()
 

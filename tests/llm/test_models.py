@@ -424,3 +424,29 @@ def test_brackets_are_looked_for_by_their_marks():
     model = residue.fit(residue.natural_counts(["Một đoạn văn bản bình thường về đất đai của xã, dài hơn sáu mươi ký tự cho chắc."] * 50))
     assert all(kind == "placeholder" for spans in residue.find_residue(texts, model) for *_, kind in spans) and any(residue.find_residue(texts, model))
     assert not any(residue.find_residue(texts, model, placeholders=False))
+
+
+def test_lines_are_folded_and_words_counted_by_the_text():
+    import time
+    from collections import Counter
+
+    import pyarrow as pa
+
+    odd = "ΣΟΦΟΣ Σ-Σ\n  12  Trang l0 \x1cĐất-đai, đẤt‑Đai2\tİx-y_z a-b-c ²x Ⅷ"
+    for text in (odd, "", "\n", "a" * 70 + "\U0001d400ế"):
+        form = scan_repair.folded_text(text)
+        assert form == text.translate(str.maketrans(*scan_repair._fold_tables())) and form.count("\n") == text.count("\n")
+        low = text.lower()
+        want = Counter(scan_repair._WORD.findall(low))
+        want.update(f"{x}-{y}" for w in low.split() for x, y in scan_repair._COMPOUND.findall(w))
+        assert scan_repair.word_counts(Counter(text.split())) == want
+    line = "Ủy ban nhân dân huyện Bình Khê cập nhật trước chứng từ vận chuyển lâm sản đối với khu tái định cư"
+    texts = ["\n".join([line] * 10)] * 3_000
+
+    def seconds(run):
+        return min((t := time.process_time(), run(), time.process_time() - t)[2] for _ in range(2))
+
+    # once through all characters by a dictionary takes longer than all that is observed
+    table = str.maketrans(*scan_repair._fold_tables())
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(texts))]), pa.array(texts)], names=["id", "text"])
+    assert seconds(lambda: list(scan_repair.observe([batch]))) < seconds(lambda: [t.translate(table) for t in texts])
