@@ -320,6 +320,7 @@ def _hash(symbol: str) -> int:
     return xxhash.xxh3_64_intdigest(symbol.encode("utf-8", "surrogatepass"))
 
 
+@functools.lru_cache(HELD)
 def _bytes(symbol: str) -> bytes:
     return _hash(symbol).to_bytes(8, sys.byteorder)
 
@@ -349,6 +350,11 @@ class Words:
         return known
 
 
+#: Digits are alike to the models: pieces of text are looked up with zeros in their place, so that they needn't be read and held
+#: for each number; with their own digits they are held besides, in half of the room.
+ZEROS = str.maketrans("123456789", "0" * 9)
+
+
 class Symbols(dict):
     """The hashes of the symbols of tokens."""
 
@@ -372,6 +378,12 @@ class Pieces(dict):
         self.tokens = (_BARE_TOKEN if model.bare else _TOKEN).findall
 
     def __missing__(self, piece: str) -> bytes:
+        alike = piece.translate(ZEROS)
+        if alike != piece:
+            out = self[alike]
+            if 2 * len(self) < HELD and len(piece) < 64:
+                self[piece] = out
+            return out
         word = piece.rstrip()
         out = b"".join(map(self.symbols.__getitem__, self.tokens(word)))
         if len(word) < len(piece):
@@ -737,6 +749,12 @@ class Shared(dict):
         self.of_marked, self.of_bare = (m.pieces[0].symbols.__getitem__ for m in (marked, bare))
 
     def __missing__(self, word: str) -> bytes | None:
+        alike = word.translate(ZEROS)
+        if alike != word:
+            out = self[alike]
+            if 2 * len(self) < HELD and len(word) < 64:
+                self[word] = out
+            return out
         out = None
         if word and word.split() == [word]:
             found = _TOKEN.findall(word)
@@ -882,8 +900,13 @@ def known_words(texts: DataFrame) -> dict[bool, np.ndarray]:
         yield from out(held)
 
     def out(held):
-        for bare in (False, True):
-            seen = _count_words(held, bare)
+        marked = _count_words(held, False)
+        # the models read words alike where each script parts them
+        unspaced = {p: n for p, n in held.items() if _ANY_UNSPACED.search(p)}
+        both = marked.copy()
+        both.subtract(_count_words(unspaced, False))
+        both.update(_count_words(unspaced, True))
+        for bare, seen in ((False, marked), (True, +both)):
             yield pa.RecordBatch.from_arrays([pa.array([bare] * len(seen), pa.bool_()), pa.array([Words.hash(w, bare) for w in seen], pa.int64()), pa.array(list(seen.values()), pa.int64())], names=["bare", "word", "n"])
 
     found = texts.mapInArrow(run, "bare boolean, word bigint, n bigint").groupBy("bare", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= WORD_LEAST).select("bare", "word").toArrow()

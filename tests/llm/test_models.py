@@ -450,3 +450,15 @@ def test_lines_are_folded_and_words_counted_by_the_text():
     table = str.maketrans(*scan_repair._fold_tables())
     batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(len(texts))]), pa.array(texts)], names=["id", "text"])
     assert seconds(lambda: list(scan_repair.observe([batch]))) < seconds(lambda: [t.translate(table) for t in texts])
+
+
+def test_numbers_are_read_alike_and_not_each():
+    import numpy as np
+
+    words = {bare: np.sort(np.array([sentences.Words.hash(w, bare) for w in ("xã", "Bình")], np.int64)) for bare in (False, True)}
+    marked, bare = sentences._models(words)
+    shared = sentences.Shared(marked, bare)
+    for n in range(1_000, 3_000):
+        assert shared[f"{n},{n}"] == shared["1000,5"] != shared["1000"] == shared[str(n)] != shared[str(n - n // 1_000 * 1_000)]
+        assert marked.pieces[0][f"{n}/QĐ. "] == marked.pieces[0]["1000/QĐ. "]
+    assert len(marked.pieces[0].symbols) < 20 and len(bare.pieces[0].symbols) < 20
