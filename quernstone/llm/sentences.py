@@ -23,6 +23,7 @@ import functools
 import re
 import sys
 import unicodedata
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -45,6 +46,8 @@ BARE_LEAST, BARE_POSTERIOR = 12, 0.8
 HELD_STRETCHES, HELD = 50_000, 200_000
 #: Symbols that are counted at once, and n-grams and words that a task holds before it passes their counts on.
 BLOCK_SYMBOLS, HELD_GRAMS, HELD_WORDS = 400_000, 1_500_000, 1_000_000
+#: Letters of texts whose words are looked up at once, and bits of the places for the words met last.
+BLOCK_LETTERS, WORD_BITS = 1 << 19, 18
 #: Bits of the largest filter of the n-grams that are asked for, as a power of two; when it fills up, more that aren't are counted too.
 FILTER_BITS = 28
 #: Rows whose stretches are looked up and summed over together.
@@ -158,21 +161,28 @@ def bare_candidates(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
+def _stops(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the marks that don't stand at the text's end or inside a word or number."""
+    found = ((m.start(), m.end()) for m in _STOP.finditer(text))
+    return [(s, e) for s, e in found if e < len(text) and not (text[e].isalnum() and text[e].isascii() and text[e - 1] not in IDEOGRAPHIC_FINALS)]
+
+
+def candidates(text: str, stops: list[tuple[int, int]] | None = None, quoted: bool = True) -> list[tuple[int, int, int]]:
     """(end, next, certainty) of gaps where a sentence may end: the end of its last visible character, the start of what
-    follows, and 1 if it must end there, -1 if not, 0 if the model decides."""
+    follows, and 1 if it must end there, -1 if not, 0 if the model decides.
+
+    stops: those of the text, where they are known and it has no Thai; quoted: whether it may have quotations or brackets."""
     inside = bytearray(len(text) + 1)
-    for s, e in closed_spans(text):
+    for s, e in closed_spans(text) if quoted else ():
         inside[s + 1 : e] = b"\1" * (e - s - 1)
+    thai = stops is None and _THAI.search(text)
     found: dict[int, tuple[int, int]] = {}
     for m in _BLANK.finditer(text) if _BLANK_LINE.search(text) else ():
         end = m.start() + len(m.group()) - len(m.group().lstrip())
         if m.end() < len(text) and text[: m.start()].strip():
             found[m.start()] = (m.end(), 1)
-    for m in _STOP.finditer(text):
-        end = m.end()
-        if end == len(text) or text[end].isalnum() and text[end].isascii() and m.group()[-1] not in IDEOGRAPHIC_FINALS:
-            continue
+    for start, stop in _stops(text) if stops is None else stops:
+        end = stop
         while end < len(text) and (text[end] in CLOSING or text[end] in "   " and text[end + 1 : end + 2] == "»"):
             if text[end] in "\"'" and not inside[end]:
                 break
@@ -182,12 +192,12 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
             nxt += 1
         if nxt >= len(text) or inside[end]:
             continue
-        ideographic = m.group()[-1] in IDEOGRAPHIC_FINALS
-        if nxt == end and not ideographic and not (unicodedata.category(text[nxt])[0] == "P" and text[nxt] in PAIRS and m.group()[-1] in "!?…") and not ("⺀" <= text[nxt] <= "鿿" or "가" <= text[nxt] <= "힣"):
-            if not (end > m.end() and text[nxt] in PAIRS):
+        ideographic = text[stop - 1] in IDEOGRAPHIC_FINALS
+        if nxt == end and not ideographic and not (unicodedata.category(text[nxt])[0] == "P" and text[nxt] in PAIRS and text[stop - 1] in "!?…") and not ("⺀" <= text[nxt] <= "鿿" or "가" <= text[nxt] <= "힣"):
+            if not (end > stop and text[nxt] in PAIRS):
                 continue
-        found.setdefault(end, (nxt, -1 if end == m.end() and _opening_number(text, m.start()) else 0))
-    for m in re.finditer(r"\s+", text) if _THAI.search(text) else ():
+        found.setdefault(end, (nxt, -1 if end == stop and _opening_number(text, start) else 0))
+    for m in re.finditer(r"\s+", text) if thai else ():
         a, b = m.start() - 1, m.end()
         if a >= 0 and b < len(text) and _thai(text[a]) and not inside[m.start()] and not text[b].isdigit() and m.start() not in found and (text[b].isalpha() or text[b] in PAIRS):
             found[m.start()] = (b, 0)
@@ -599,6 +609,27 @@ def among(asked: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return asked[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1 == 1
 
 
+def _once(t: pa.Table) -> pa.Table:
+    """The n-grams of a table of (g, h, c) with their summed counts, each once: sorted by the first bits of h, the few that these don't tell apart grouped."""
+    g, h, c = (t[k].to_numpy() for k in ("g", "h", "c"))
+    if not len(h):
+        return t
+    bits = np.uint64(len(h).bit_length())
+    at = h >> bits << bits | np.arange(len(h), dtype=np.uint64)
+    at.sort()
+    at = (at & ((np.uint64(1) << bits) - np.uint64(1))).view(np.int64)
+    g, h = g[at], h[at]
+    first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])))
+    out = pa.table([g[first], h[first], np.add.reduceat(c[at], first)], names=["g", "h", "c"])
+    tops = h[first] >> bits
+    alike = np.append(False, tops[1:] == tops[:-1])
+    alike[:-1] |= alike[1:]
+    if not alike.any():
+        return out
+    few = out.filter(pa.array(alike)).group_by(["g", "h"], use_threads=False).aggregate([("c", "sum")])
+    return pa.concat_tables([out.filter(pa.array(~alike)), pa.table([few["g"], few["h"], few["c_sum"]], names=["g", "h", "c"])])
+
+
 class Grams:
     """Counts of n-grams by key, with the key of what they follow; those of RARE_FROM symbols and more are negative.
 
@@ -654,8 +685,7 @@ class Grams:
 
     def _merge(self) -> None:
         if len(self.tables) > 1:
-            t = pa.concat_tables(self.tables).group_by(["g", "h"], use_threads=False).aggregate([("c", "sum")])
-            self.tables = [pa.table([t["g"], t["h"], t["c_sum"]], names=["g", "h", "c"])]
+            self.tables = [_once(pa.concat_tables(self.tables))]
 
     def full(self) -> bool:
         return len(self.tables) == 1 and self.tables[0].num_rows > HELD_GRAMS
@@ -669,7 +699,7 @@ class Grams:
         return tuple(t[c].to_numpy() for c in ("g", "h", "c"))
 
 
-_START, _S, _DANDA, _BLANK_GAP, _LINE = _bytes(START), _bytes("S"), _bytes("।"), _bytes("_"), _bytes("/")
+_START, _S, _DANDA = _bytes(START), _bytes("S"), _bytes("।")
 
 
 def _fixed(ends: set[int], gaps: dict[int, int]) -> tuple[set[int], set[int]]:
@@ -741,38 +771,96 @@ def _examples(texts: list[str], bare: bool):
             yield text, set(ends), {end: c for end, _, c in candidates(text)}
 
 
+#: Code points that the tables of letters go to: below it, texts that _OTHER finds nothing in have all of theirs.
+_LETTERS = 0x2E80
+#: Bits of what a code point is; the last one stands for all of _OTHER.
+_SPACE_BIT, _STOP_BIT, _QUOTE_BIT, _OTHER_BIT, _WORD_BIT = 1, 2, 4, 8, 16
+_KINDS = np.array([_SPACE_BIT * chr(c).isspace() | _STOP_BIT * (chr(c) in FINALS) | _QUOTE_BIT * (_QUOTES.match(chr(c)) is not None) | _OTHER_BIT * (c == _LETTERS - 1 or _OTHER.match(chr(c)) is not None) | _WORD_BIT * (c < 128 and chr(c).isalnum()) for c in range(_LETTERS)], np.uint8)
+_VALUES = np.array([xxhash.xxh3_64_intdigest(chr(c).translate(ZEROS).encode()) if not 0xD800 <= c < 0xE000 else 0 for c in range(_LETTERS)], np.uint64)
+
+
+@functools.lru_cache(1)
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of MIX and of its inverse in 64 bits."""
+    return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)])) for x in (MIX, pow(MIX, -1, 1 << 64)))
+
+
 class Shared(dict):
-    """The hashes of the symbols of words, of scripts that part words, in which two models agree; None for other words, and for what isn't one word."""
+    """Numbers of words by their symbols in both models: words of the same symbols have the same. Digits are alike.
+
+    flat, at, size: the hashes of the symbols of all, and by model where a number's stand. keys, numbers: the last words met, by the
+    first bits of their letters' sum.
+    """
 
     def __init__(self, marked: HiddenEventModel, bare: HiddenEventModel):
         super().__init__()
-        self.of_marked, self.of_bare = (m.pieces[0].symbols.__getitem__ for m in (marked, bare))
-
-    def __missing__(self, word: str) -> bytes | None:
+        self.models = marked, bare
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.known: dict[tuple[bytes, bytes], int] = {}
+        self.plains: dict[str, tuple[int, bool]] = {}
+        self.flat, self.at, self.size = bytearray(), (array("q"), array("q")), (array("q"), array("q"))
+        self.keys, self.numbers = np.zeros(1 << WORD_BITS, np.uint64), np.zeros(1 << WORD_BITS, np.int64)
+        self.keys[0] = BITS  # a key of no word's that has this place
+        self.held: tuple = (-1, ())
+
+    def __missing__(self, word: str) -> int:
         alike = word.translate(ZEROS)
         if alike != word:
-            out = self[alike]
-            if 2 * len(self) < HELD and len(word) < 64:
-                self[word] = out
-            return out
-        out = None
-        if word and word.split() == [word]:
-            found = _TOKEN.findall(word)
-            out = b"".join(map(self.of_marked, found))
-            if out != b"".join(map(self.of_bare, found)):
-                out = None
-        if len(self) < HELD and len(word) < 64:
-            self[word] = out
+            return self[alike]
+        symbols = tuple(b"".join(map(m.pieces[0].symbols.__getitem__, m.pieces[0].tokens(word))) for m in self.models)
+        out = self.known.get(symbols)
+        if out is None:
+            out = self.known[symbols] = len(self.known)
+            for k, x in enumerate(symbols):
+                self.at[k].append(len(self.flat) // 8)
+                self.size[k].append(len(x) // 8)
+                self.flat += x
+        self[word] = out
         return out
 
+    def plain(self, word: str) -> tuple[int, bool]:
+        """The number of a sentence's last word without its marks, and whether a gap may follow it."""
+        found = self.plains.get(word)
+        if found is None:
+            core = word.rstrip(CLOSING)
+            plain = core.rstrip(FINALS) + word[len(core) :]
+            found = self.plains[word] = self[plain], _may_end(plain[-1])
+        return found
+
+    def arrays(self) -> tuple:
+        """flat, and (at, size) by model."""
+        if self.held[0] != len(self.known):
+            self.held = len(self.known), (np.frombuffer(bytes(self.flat), np.uint64), *((np.array(at), np.array(size)) for at, size in zip(self.at, self.size)))
+        return self.held[1]
+
 
 def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> None:
     """Add the n-grams of a text, labelled by rule, as it is and without its final marks, as train does with _examples."""
-    found = candidates(text)
+    count_texts([text], grams, marked, bare, shared)
+
+
+def count_texts(texts: list[str], grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> None:
+    """Do so with texts; those of scripts that part words and have case, whose ends stand before white space, by blocks."""
+    block, size = [], 0
+    for text in texts:
+        if len(text) > BLOCK_LETTERS:
+            _count_singly(text, candidates(text), grams, marked, bare)
+            continue
+        if size + len(text) > BLOCK_LETTERS:
+            _count_block(block, grams, marked, bare, shared)
+            block, size = [], 0
+        block.append(text)
+        size += len(text) + 1
+    if block:
+        _count_block(block, grams, marked, bare, shared)
+
+
+def _count_singly(text: str, found: list[tuple[int, int, int]], grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel) -> None:
     ends = _annotated(text, found)
     other = _OTHER.search(text)
-    if not other and _count_both(text, found, set(ends), grams, marked, bare, shared):
-        return
     grams.add(marked, text, *_fixed(set(ends), {e: c for e, _, c in found}))
     text, ends = without_marks(text, ends)
     if other and (_ANY_UNSPACED.search(text) or _THAI.search(text)):
@@ -788,64 +876,149 @@ def count_text(text: str, grams: Grams, marked: HiddenEventModel, bare: HiddenEv
     grams.add(bare, text, events, set())
 
 
+def _may_end(a: str) -> bool:
+    return a.isalnum() or a in CLOSING or unicodedata.category(a)[0] == "M"
+
+
+def _may_open(b: str) -> bool:
+    return b.isalnum() or b in PAIRS
+
+
 def _parts(a: str, b: str) -> bool:
     """Whether white space between two characters is a gap of a text without marks."""
-    return (a.isalnum() or a in CLOSING or unicodedata.category(a)[0] == "M") and (b.isalnum() or b in PAIRS)
+    return _may_end(a) and _may_open(b)
 
 
-def _count_both(text: str, found: list[tuple[int, int, int]], ends: set[int], grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> bool:
-    """Do so at once for a text of scripts that part words and have case, whose ends stand after a word in which the models agree and
-    before white space; False for another.
+_ONLY_MARKS = set(FINALS + CLOSING)
 
-    The two differ in the last word of each sentence, in the events and in the gaps that are none for certain; no end lies in a closed span.
-    """
-    seq, without = [_START, _S], [_START, _S]
-    pos, last = len(text) - len(text.lstrip()), len(text.rstrip())
-    for end, nxt, certain in [*found, (last, last, 0)]:
-        if certain >= 0 and end not in ends:
-            continue
-        if nxt == end < last:
+
+def _plain_ends(text: str, found: list[tuple[int, int, int]], ends: list[int]) -> bool:
+    """Whether each gap of a text stands before white space, and each sentence ends with a word that isn't marks alone."""
+    for end, nxt, _ in found:
+        if nxt == end:
             return False
-        at = max(text.rfind(" ", pos, end), text.rfind("\n", pos, end)) + 1
-        if at:
-            try:
-                head = _LINE.join([_BLANK_GAP.join(map(shared.__getitem__, line.split(" "))) for line in text[pos : at - 1].split("\n")])
-                head += _BLANK_GAP if text[at - 1] == " " else _LINE
-                seq.append(head)
-                without.append(head)
-            except TypeError:  # other white space, or words in which they differ
-                pieces = _PIECE.findall(text, pos, at)
-                seq += map(marked.pieces[0].__getitem__, pieces)
-                without += map(bare.pieces[0].__getitem__, pieces)
-        word = plain = text[max(at, pos) : end]
-        if certain >= 0:
-            core = word.rstrip(CLOSING)
-            plain = core.rstrip(FINALS)
-            if not plain:
+    for end in ends:
+        at = end - 1
+        while text[at] in _ONLY_MARKS:
+            at -= 1
+            if at < 0:
                 return False
-            plain += word[len(core) :]
-        of_plain = shared[plain]
-        if of_plain is None:
+        if text[at].isspace():
             return False
-        seq.append(marked.pieces[0][word])
-        without.append(of_plain)
-        if end < last:
-            gap = _gap(text[end:nxt])
-            without.append(_bytes(gap))
-            if certain < 0:
-                seq.append(_bytes(gap + "-"))
-            else:
-                seq += (_bytes(gap), _S)
-                if _parts(plain[-1], text[nxt]):
-                    without.append(_S)
-        pos = nxt
-    seq.append(_S)
-    without.append(_S)
-    grams.put(marked, seq)
-    grams.put(bare, without)
     return True
 
 
+_GAPS = np.array([int.from_bytes(_bytes(x), sys.byteorder) for x in ("_", "/", "¶", "_-", "/-", "¶-", "S", START)], np.uint64)
+
+
+def _count_block(texts: list[str], grams: Grams, marked: HiddenEventModel, bare: HiddenEventModel, shared: Shared) -> None:
+    """Add texts together.
+
+    The two models differ in the last word of each sentence, in the events and in the gaps that are none for certain; no end lies in a closed span.
+    """
+    if len(shared) + len(shared.plains) > HELD:
+        shared.clear()
+    joined = "\n".join(["", *texts, ""])
+    a = np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4"), _LETTERS - 1)
+    kinds = _KINDS[a]
+    bases = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    of_text = np.bitwise_or.reduceat(kinds, bases[:-1])
+    stop = np.flatnonzero(kinds & _STOP_BIT)
+    apart = np.diff(stop) > 1
+    opening, closing = stop[np.append(True, apart)[: len(stop)]], stop[np.append(apart, True)[: len(stop)]] + 1
+    used = kinds[closing] & _WORD_BIT == 0
+    opening, closing = opening[used], closing[used]
+    cuts = np.searchsorted(opening, bases).tolist()
+    opening, closing = opening.tolist(), closing.tolist()
+
+    # (end, whether it is closed, whether a gap may stand before what follows) of gaps with an event or closed
+    marks, kept, bases = [], [], bases.tolist()
+    for k, (text, kind) in enumerate(zip(texts, of_text.tolist())):
+        if kind & _OTHER_BIT:
+            _count_singly(text, candidates(text), grams, marked, bare)
+            continue
+        base, till = bases[k], bases[k + 1] - 1
+        found = candidates(text, [(s - base, e - base) for s, e in zip(opening[cuts[k] : cuts[k + 1]], closing[cuts[k] : cuts[k + 1]]) if e < till], kind & _QUOTE_BIT > 0)
+        ends = _annotated(text, found)
+        if not _plain_ends(text, found, ends):
+            _count_singly(text, found, grams, marked, bare)
+            continue
+        held = set(ends)
+        marks += [(base + end, certain < 0, _may_open(text[nxt])) for end, nxt, certain in found if certain < 0 or end in held]
+        kept.append(k)
+    if not kept:
+        return
+
+    space = kinds & _SPACE_BIT
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+    starts, ends = edges[::2], edges[1::2]
+    if len(kept) < len(texts):
+        fit = np.zeros(len(texts), bool)
+        fit[kept] = True
+        fit = fit[np.searchsorted(bases, starts, "right") - 1]
+        starts, ends = starts[fit], ends[fit]
+    # a word's key is the sum of its letters' values times powers by their places in it
+    power, inverse = _powers(1 << (len(a) - 1).bit_length())
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[a] * power[: len(a)])])
+    keys = (sums[ends] - sums[starts]) * inverse[starts]
+    for k in np.flatnonzero(ends - starts >= 64).tolist():
+        keys[k] = xxhash.xxh3_64_intdigest(joined[starts[k] : ends[k]].translate(ZEROS).encode())
+    place = (keys >> np.uint64(64 - WORD_BITS)).view(np.int64)
+    number = shared.numbers[place]
+    new = np.flatnonzero(shared.keys[place] != keys)
+    if len(new):
+        _, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+        at = new[first]
+        got = np.array([shared[joined[s:e]] for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+        number[new] = got[back]
+        shared.keys[place[at]], shared.numbers[place[at]] = keys[at], got
+
+    firsts = np.searchsorted(starts, [bases[k] for k in kept])
+    lasts = np.append(firsts[1:], len(starts)) - 1
+    gap = (a[ends] == 10).astype(np.int64)
+    wide = np.flatnonzero(starts[1:] - ends[:-1] > 1)
+    if len(wide):
+        lines = np.flatnonzero(a == 10)
+        gap[wide] = np.minimum(np.searchsorted(lines, starts[wide + 1]) - np.searchsorted(lines, ends[wide]), 2)
+    gap[lasts] = 6
+
+    end, closed, opens = (np.array([m[k] for m in marks], t) for k, t in enumerate((np.int64, bool, bool)))
+    at = np.searchsorted(ends, end)
+    event = at[~closed]
+    ended = np.concatenate([event, lasts])
+    plain = [shared.plain(joined[s:e]) for s, e in zip(starts[ended].tolist(), ends[ended].tolist())]
+    without = number.copy()
+    without[ended] = [n for n, _ in plain]
+    flat, of_marked, of_bare = shared.arrays()
+    both = np.array([x for _, x in plain[: len(event)]], bool) & opens[~closed]
+    for model, number, gaps, event, (of, size) in ((marked, number, gap.copy(), event, of_marked), (bare, without, gap, event[both], of_bare)):
+        if model is marked:
+            gaps[at[closed]] += 3
+        grams.put(model, [_laid(flat, of[number], size[number], gaps, event, firsts).tobytes()])
+
+
+def _laid(flat: np.ndarray, of: np.ndarray, size: np.ndarray, gaps: np.ndarray, event: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """The symbols of words and of the gaps after them, with events after some, and the opening two before the first words of texts."""
+    width = size + 1
+    width[event] += 1
+    width[firsts] += 2
+    at = np.cumsum(width)
+    out = np.full(at[-1], _GAPS[6])
+    at -= width
+    out[at[firsts]] = _GAPS[7]
+    at[firsts] += 2
+    out[at] = flat[of]
+    for k in np.flatnonzero(size > 16).tolist():
+        out[at[k] : at[k] + size[k]] = flat[of[k] : of[k] + size[k]]
+    more, n = np.flatnonzero((size > 1) & (size <= 16)), 1
+    while len(more):
+        out[at[more] + n] = flat[of[more] + n]
+        n += 1
+        more = more[size[more] > n]
+    out[at + size] = _GAPS[gaps]
+    return out
+
+
 def _count_words(counts: Counter, bare: bool) -> Counter:
     """Words of pieces without white space, with their counts."""
     seen: Counter[str] = Counter()
@@ -941,8 +1114,9 @@ def gram_facts(texts: DataFrame, words, asked) -> DataFrame:
     def run(batches):
         models, grams = _kept_models(words.value), Grams(asked.value)
         for b in batches:
-            for t in filter(str.strip, b.column(0).to_pylist()):
-                count_text(t, grams, *models)
+            texts = list(filter(str.strip, b.column(0).to_pylist()))
+            for k in range(0, len(texts), BLOCK_ROWS):
+                count_texts(texts[k : k + BLOCK_ROWS], grams, *models)
                 if grams.full():
                     yield out(grams)
         yield out(grams)

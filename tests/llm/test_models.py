@@ -462,3 +462,38 @@ def test_numbers_are_read_alike_and_not_each():
         assert shared[f"{n},{n}"] == shared["1000,5"] != shared["1000"] == shared[str(n)] != shared[str(n - n // 1_000 * 1_000)]
         assert marked.pieces[0][f"{n}/QĐ. "] == marked.pieces[0]["1000/QĐ. "]
     assert len(marked.pieces[0].symbols) < 20 and len(bare.pieces[0].symbols) < 20
+
+
+def test_words_of_a_block_are_counted_together():
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [*ODD, *TEXTS, "\n Đầu\u2005dòng 12.5.\n\n \nSau " + "dài" * 30 + ". Hết ?!  ", "x" + "..a" * 20 + " b. C", "(Một. Hai) ba. «Bốn.» Năm", "3. Mục\nĐiều 4. Kho.  Bến", ".", "?! Kho", "Kho"]
+    models = [sentences.HiddenEventModel({"Kho", "mở", "dòng"} | sentences.ABBREVIATIONS, sentences.BARE_ORDER if bare else sentences.ORDER, bare) for bare in (False, True)]
+    shared, whole, single = sentences.Shared(*models), sentences.Grams(), sentences.Grams()
+    sentences.count_texts(texts * 3, whole, *models, shared)
+    for m in models:
+        for text, ends, gaps in sentences._examples(texts * 3, m.bare):
+            single.add(m, text, *sentences._fixed(ends, gaps))
+    whole, single = ({h: (g, c) for g, h, c in zip(*(x.tolist() for x in grams.take()))} for grams in (whole, single))
+    assert whole == single and len(whole) > 500
+
+    # n-grams whose first bits are alike are told apart, and each is kept once
+    h = np.array([7, 5, 7, 5, 7, 1 << 60] * 3, np.uint64)
+    once = sentences._once(pa.table([h // np.uint64(2), h, np.ones(18, np.int64)], names=["g", "h", "c"])).to_pylist()
+    assert sorted((r["g"], r["h"], r["c"]) for r in once) == [(2, 5, 6), (3, 7, 9), (1 << 59, 1 << 60, 3)]
+
+
+def test_a_word_is_looked_up_once_not_at_each_place():
+    class Asked(sentences.Shared):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    models = [sentences.HiddenEventModel({"Kho", "mở"} | sentences.ABBREVIATIONS, sentences.BARE_ORDER if bare else sentences.ORDER, bare) for bare in (False, True)]
+    shared = Asked(*models)
+    for k in range(3):
+        sentences.count_text("Kho mở cửa từ sáng sớm ngày 12 và đóng lúc chiều muộn " * 2_000 + f"năm {k}.", sentences.Grams(), *models, shared)
+    assert 0 < shared.asked < 100
