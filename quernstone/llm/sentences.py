@@ -785,11 +785,81 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)])) for x in (MIX, pow(MIX, -1, 1 << 64)))
 
 
+class Places:
+    """Numbers of the words met last, by the first bits of their letters' sum; digits are alike."""
+
+    def __init__(self):
+        self.keys, self.numbers = np.zeros(1 << WORD_BITS, np.uint64), np.zeros(1 << WORD_BITS, np.int64)
+        self.keys[0] = BITS  # a key of no word's that has this place
+
+    def numbered(self, joined: str, a: np.ndarray, starts: np.ndarray, ends: np.ndarray, number_of) -> np.ndarray:
+        """The numbers of a text's words, given its code points; number_of: gives that of a word not met."""
+        # a word's key is the sum of its letters' values times powers by their places in it
+        power, inverse = _powers(1 << (len(a) - 1).bit_length())
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[a] * power[: len(a)])])
+        keys = (sums[ends] - sums[starts]) * inverse[starts]
+        for k in np.flatnonzero(ends - starts >= 64).tolist():
+            keys[k] = xxhash.xxh3_64_intdigest(joined[starts[k] : ends[k]].translate(ZEROS).encode())
+        place = (keys >> np.uint64(64 - WORD_BITS)).view(np.int64)
+        number = self.numbers[place]
+        new = np.flatnonzero(self.keys[place] != keys)
+        if len(new):
+            _, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
+            at = new[first]
+            got = np.array([number_of(joined[s:e]) for s, e in zip(starts[at].tolist(), ends[at].tolist())])
+            number[new] = got[back]
+            self.keys[place[at]], self.numbers[place[at]] = keys[at], got
+        return number
+
+
+class WordCounts:
+    """Counts of pieces of texts without white space; digits are alike."""
+
+    def __init__(self):
+        self.single: Counter[str] = Counter()
+        self.named: dict[str, int] = {}
+        self.counts, self.places = np.zeros(0, np.int64), Places()
+
+    def __len__(self) -> int:
+        return len(self.single) + len(self.named)
+
+    def number(self, word: str) -> int:
+        return self.named.setdefault(word.translate(ZEROS), len(self.named))
+
+    def add(self, texts: list[str]) -> None:
+        block, size = [], 0
+        for text in texts:
+            if len(text) > BLOCK_LETTERS or _OTHER.search(text):
+                self.single.update(text.split())
+                continue
+            if size + len(text) > BLOCK_LETTERS:
+                self._add(block)
+                block, size = [], 0
+            block.append(text)
+            size += len(text) + 1
+        self._add(block)
+
+    def _add(self, texts: list[str]) -> None:
+        joined = "\n".join(["", *texts, ""])
+        a = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        space = _KINDS[a] & _SPACE_BIT
+        edges = np.flatnonzero(space[1:] != space[:-1]) + 1
+        counts = np.bincount(self.places.numbered(joined, a, edges[::2], edges[1::2], self.number), minlength=len(self.named))
+        counts[: len(self.counts)] += self.counts
+        self.counts = counts
+
+    def take(self) -> Counter:
+        """The counts; what comes after is counted anew."""
+        out = self.single
+        out.update(dict(zip(self.named, self.counts.tolist())))
+        self.__init__()
+        return out
+
+
 class Shared(dict):
     """Numbers of words by their symbols in both models: words of the same symbols have the same. Digits are alike.
 
-    flat, at, size: the hashes of the symbols of all, and by model where a number's stand. keys, numbers: the last words met, by the
-    first bits of their letters' sum.
+    flat, at, size: the hashes of the symbols of all, and by model where a number's stand.
     """
 
     def __init__(self, marked: HiddenEventModel, bare: HiddenEventModel):
@@ -802,8 +872,7 @@ class Shared(dict):
         self.known: dict[tuple[bytes, bytes], int] = {}
         self.plains: dict[str, tuple[int, bool]] = {}
         self.flat, self.at, self.size = bytearray(), (array("q"), array("q")), (array("q"), array("q"))
-        self.keys, self.numbers = np.zeros(1 << WORD_BITS, np.uint64), np.zeros(1 << WORD_BITS, np.int64)
-        self.keys[0] = BITS  # a key of no word's that has this place
+        self.places = Places()
         self.held: tuple = (-1, ())
 
     def __missing__(self, word: str) -> int:
@@ -957,21 +1026,7 @@ def _count_block(texts: list[str], grams: Grams, marked: HiddenEventModel, bare:
         fit[kept] = True
         fit = fit[np.searchsorted(bases, starts, "right") - 1]
         starts, ends = starts[fit], ends[fit]
-    # a word's key is the sum of its letters' values times powers by their places in it
-    power, inverse = _powers(1 << (len(a) - 1).bit_length())
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[a] * power[: len(a)])])
-    keys = (sums[ends] - sums[starts]) * inverse[starts]
-    for k in np.flatnonzero(ends - starts >= 64).tolist():
-        keys[k] = xxhash.xxh3_64_intdigest(joined[starts[k] : ends[k]].translate(ZEROS).encode())
-    place = (keys >> np.uint64(64 - WORD_BITS)).view(np.int64)
-    number = shared.numbers[place]
-    new = np.flatnonzero(shared.keys[place] != keys)
-    if len(new):
-        _, first, back = np.unique(keys[new], return_index=True, return_inverse=True)
-        at = new[first]
-        got = np.array([shared[joined[s:e]] for s, e in zip(starts[at].tolist(), ends[at].tolist())])
-        number[new] = got[back]
-        shared.keys[place[at]], shared.numbers[place[at]] = keys[at], got
+    number = shared.places.numbered(joined, a, starts, ends, shared.__getitem__)
 
     firsts = np.searchsorted(starts, [bases[k] for k in kept])
     lasts = np.append(firsts[1:], len(starts)) - 1
@@ -1063,14 +1118,12 @@ def known_words(texts: DataFrame) -> dict[bool, np.ndarray]:
     """Hashes of the words that occur WORD_LEAST times in all texts, in order, by model; of them alone the driver gets 8 bytes each."""
 
     def run(batches):
-        held: Counter[str] = Counter()
+        held = WordCounts()
         for b in batches:
-            for t in b.column(0).to_pylist():
-                held.update(t.split())
+            held.add(b.column(0).to_pylist())
             if len(held) > HELD_WORDS:
-                yield from out(held)
-                held.clear()
-        yield from out(held)
+                yield from out(held.take())
+        yield from out(held.take())
 
     def out(held):
         marked = _count_words(held, False)

@@ -497,3 +497,17 @@ def test_a_word_is_looked_up_once_not_at_each_place():
     for k in range(3):
         sentences.count_text("Kho mở cửa từ sáng sớm ngày 12 và đóng lúc chiều muộn " * 2_000 + f"năm {k}.", sentences.Grams(), *models, shared)
     assert 0 < shared.asked < 100
+
+
+def test_words_of_texts_are_counted_by_blocks():
+    from collections import Counter
+
+    texts = [*ODD, *TEXTS, "", "\n ", "số 12 và số 34\u2005" + "dài9" * 30, "Kho mở. " * 70_000, "ขอ 5 Kho 12"] * 2
+    held = sentences.WordCounts()
+    held.add(texts[:7])
+    held.add(texts[7:])
+    plain = Counter(p for t in texts for p in t.split())
+    got = held.take()
+    assert not len(held) and got.total() == plain.total()
+    for bare in (False, True):
+        assert sentences._count_words(got, bare) == sentences._count_words(plain, bare)
